@@ -57,9 +57,13 @@ def char_id(char: Column) -> Column:
     return F.when(point < SURROGATES, point).otherwise(point - GAP)
 
 
-def ids(seq: Column) -> Column:
-    """Token ids of a sequence as ``array<int>``; chunk breaks vanish."""
-    return F.transform(symbols(F.replace(seq, F.lit(BREAK), F.lit(""))), char_id)
+def ids(seq: Column, num_tokens: int = MAX_TOKENS) -> Column:
+    """Token ids of a sequence as ``array<int>``; chunk breaks vanish.
+
+    With ``num_tokens`` ids below the surrogates, a code point is the id itself.
+    """
+    to_id = F.ascii if num_tokens <= SURROGATES else char_id
+    return F.transform(symbols(F.replace(seq, F.lit(BREAK), F.lit(""))), lambda c: to_id(c))
 
 
 def _string_array(values: Sequence[str], sep: str) -> Column:

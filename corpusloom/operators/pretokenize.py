@@ -27,7 +27,7 @@ def explode_chunks(docs: DataFrame, pattern: str | None, text: str = "text", *ke
 
 def chunk_bytes(chunk: Column) -> Column:
     """UTF-8 byte ids of a chunk."""
-    return S.ids(S.byte_symbols(chunk))
+    return S.ids(S.byte_symbols(chunk), 256)
 
 
 def special_alternation(specials: Sequence[str]) -> str:
