@@ -130,8 +130,8 @@ FROM cut JOIN known USING (chunk) GROUP BY conv_id, turn""",
     "e4_encode_framed": O.with_training(
         """
 SELECT doc_id, array_to_string(list_append(list_prepend(
-         (SELECT id::INT FROM specials WHERE token = '<|bos|>'), coalesce(ids, [])),
-         (SELECT id::INT FROM specials WHERE token = '<|user_end|>')), ' ') AS ids
+         (SELECT id FROM specials WHERE token = '<|bos|>'), coalesce(ids, [])),
+         (SELECT id FROM specials WHERE token = '<|user_end|>')), ' ') AS ids
 FROM documents LEFT JOIN encoded USING (doc_id)""",
         more=O.SPECIALS + O.ENCODED,
     ),
@@ -150,7 +150,7 @@ FROM documents LEFT JOIN encoded USING (doc_id), plist""",
         more=O.ENCODED + PERMUTATION,
     ),
     "e7_decode": f"SELECT conv_id, turn, text FROM {CHAT_TURNS}",
-    "e8_round_trip": "SELECT count(*) AS n_docs, 0 AS n_failed FROM documents",
+    "e8_round_trip": "SELECT count(*) AS n_docs, 0::BIGINT AS n_failed FROM documents",
     "e9_token_counts": O.with_training(
         "SELECT id, sum(c)::BIGINT AS n FROM (SELECT c, unnest(ids) AS id FROM enc) GROUP BY id"
     ),

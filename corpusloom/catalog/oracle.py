@@ -54,7 +54,7 @@ def framed(text: str) -> str:
 
 
 def id_list(seq: str) -> str:
-    return f"list_transform(string_split(trim({seq}), '  '), lambda x: x::INT)"
+    return f"list_transform(string_split(trim({seq}), '  '), lambda x: x::BIGINT)"
 
 
 def training(pattern: str | None, merges: int, first_seen: bool = False) -> str:
@@ -67,7 +67,7 @@ ch AS ({numbered("doc_id", chunks, "documents")}),
 uq AS (SELECT chunk, count(*) AS c, {first} AS f FROM ch GROUP BY chunk),
 w0 AS (SELECT chunk, c, f, {framed("chunk")} AS s FROM uq),
 w(step, chunk, s, c, f, a, b, n) AS (
-  SELECT 0, chunk, s, c, f, -1, -1, 0::HUGEINT FROM w0
+  SELECT 0::BIGINT, chunk, s, c, f, -1::BIGINT, -1::BIGINT, 0::HUGEINT FROM w0
   UNION ALL
   SELECT w.step + 1, w.chunk, replace(w.s, ' ' || m.a || '  ' || m.b || ' ', ' ' || (256 + w.step) || ' '),
          w.c, w.f, m.a, m.b, m.n
@@ -120,7 +120,7 @@ docs AS MATERIALIZED (
   SELECT * FROM (
     SELECT d.doc_id, epoch, {SHARDS}, ((d.doc_id % {ROWS_PER_SHARD}) // {ROWS_PER_GROUP}) % {world} AS rank,
            (SELECT max(doc_id) // {ROWS_PER_SHARD} FROM documents) AS last_shard,
-           list_prepend((SELECT min(id)::INT FROM specials), coalesce(e.ids, [])) AS ids
+           list_prepend((SELECT min(id) FROM specials), coalesce(e.ids, [])) AS ids
     FROM documents d LEFT JOIN encoded e USING (doc_id), range({epochs}) r(epoch))
   WHERE {keep}),
 toks AS MATERIALIZED (

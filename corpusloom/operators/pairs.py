@@ -19,24 +19,24 @@ def words(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
     return chunks.withColumn("seq", S.byte_symbols(F.col(chunk)))
 
 
-def with_symbols(df: DataFrame, seq: str, out: str) -> DataFrame:
-    """Split once, in a projection of its own: lambdas would evaluate it per element."""
-    return df.withColumn(out, S.symbols(F.col(seq)))
+# Long sequences are cut into spans before their pairs are taken: finding the
+# n-th character of a string takes n steps.
+SPAN = 200
 
 
-def pairs_of(chars: Column) -> Column:
-    """Adjacent pairs of a character array, overlapping ones included."""
-    both = F.transform(chars, lambda c, i: F.concat(c, F.get(chars, i + 1)))
-    return F.filter(both, lambda p: p.isNotNull())
+def explode_grams(seqs: DataFrame, size: int, seq: str = "seq", *keep: str) -> DataFrame:
+    """One row per adjacent pair: ``keep``, ``off``, ``gram``.
 
-
-def windows_of(chars: Column) -> Column:
-    """Per pair, the pair and the token after it: two or three characters."""
-    triples = F.transform(
-        chars,
-        lambda c, i: F.concat(c, F.get(chars, i + 1), F.coalesce(F.get(chars, i + 2), F.lit(""))),
-    )
-    return F.filter(triples, lambda t: t.isNotNull())
+    ``off`` is the offset in the sequence, ``gram`` its next ``size`` tokens, or
+    fewer at the end but at least two. The expressions compile to plain loops,
+    which arrays and lambdas would not.
+    """
+    start = f"cast(k * {SPAN} + 1 AS int)"
+    spans = f"transform(sequence(0, (length({seq}) - 2) div {SPAN}), k -> substring({seq}, {start}, {SPAN + size - 1}))"
+    cut = seqs.selectExpr(*keep, f"posexplode(if(length({seq}) <= {SPAN}, array({seq}), {spans})) AS (_span, _part)")
+    places = f"if(length(_part) > 1, sequence(1, least({SPAN}, length(_part) - 1)), cast(array() AS array<int>))"
+    each = cut.selectExpr(*keep, "_span", "_part", f"explode({places}) AS _i")
+    return each.selectExpr(*keep, f"_span * {SPAN} + _i - 1 AS off", f"substring(_part, _i, {size}) AS gram")
 
 
 def with_pair_ids(counts: DataFrame, pair: str = "pair") -> DataFrame:
@@ -46,9 +46,8 @@ def with_pair_ids(counts: DataFrame, pair: str = "pair") -> DataFrame:
 
 
 def explode_pairs(seqs: DataFrame, seq: str = "seq", *keep: str) -> DataFrame:
-    """One row per adjacent pair: ``keep``, ``off`` (offset in the sequence), ``pair``."""
-    chars = with_symbols(seqs, seq, "_chars")
-    return chars.select(*keep, F.posexplode(pairs_of(F.col("_chars"))).alias("off", "pair"))
+    """One row per adjacent pair, overlapping ones included: ``keep``, ``off``, ``pair``."""
+    return explode_grams(seqs, 2, seq, *keep).withColumnRenamed("gram", "pair")
 
 
 def pair_counts(seqs: DataFrame, seq: str = "seq", weight: str | None = None, into: DataFrame | None = None) -> DataFrame:
@@ -91,22 +90,22 @@ def merge_pair(seq: Column, a: int, b: int, new_id: int) -> Column:
     return F.replace(seq, F.lit(S.symbol(a) + S.symbol(b)), F.lit(S.symbol(new_id)))
 
 
-def signed_windows(changes: DataFrame, before: str, after: str, weight: str, of=windows_of) -> DataFrame:
-    """``(gram, n)`` rows that turn the counts of ``before`` into those of ``after``."""
-    chars = with_symbols(with_symbols(changes, before, "_old"), after, "_new")
-    gram = lambda sign: lambda g: F.struct(g.alias("gram"), (F.col(weight) * sign).alias("n"))
-    both = F.concat(
-        F.transform(of(F.col("_old")), gram(-1)),
-        F.transform(of(F.col("_new")), gram(1)),
-    )
-    return chars.select(F.inline(both))
+def signed_grams(seqs: DataFrame, merges: list[S.Merge], size: int, seq: str, weight: str) -> DataFrame:
+    """``(gram, n)`` rows that turn the counts before the merges into those after.
+
+    Words that do not change yield nothing. That is a condition on the array,
+    not a filter: pushed below the projection it would fold every word twice.
+    """
+    after = seqs.select(seq, weight, S.fold(F.col(seq), merges).alias("_after"))
+    both = f"array(struct({seq} AS seq, -{weight} AS n), struct(_after AS seq, {weight} AS n))"
+    signed = after.selectExpr(f"inline(if(_after = {seq}, array(), {both}))")
+    return explode_grams(signed, size, "seq", "n").select("gram", "n")
 
 
 def pair_deltas(seqs: DataFrame, merges: list[S.Merge], seq: str = "seq", weight: str = "cnt") -> DataFrame:
     """Changes of the pair counts caused by merges, from the changed words only."""
-    changed = seqs.withColumn("_after", S.fold(F.col(seq), merges)).where(F.col("_after") != F.col(seq))
     return (
-        signed_windows(changed, seq, "_after", weight, pairs_of)
+        signed_grams(seqs, merges, 2, seq, weight)
         .groupBy(F.col("gram").alias("pair"))
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") != 0)

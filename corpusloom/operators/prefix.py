@@ -27,15 +27,15 @@ def _level(df: DataFrame, key: str, value: str, out: str, within: list[str], buc
     if top < bucket:
         order = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
         return df.withColumn(out, F.coalesce(F.sum(value).over(order.orderBy(key).rowsBetween(*before)), F.lit(0)))
-    group = f"_bucket{top}"
-    rows = df.withColumn(group, F.floor(F.col(key) / bucket))
+    group, inner, total, outer = (f"_{name}_{key}" for name in ("bucket", "inner", "total", "outer"))
+    # Whole division: keys may be too large for a double.
+    number = F.expr(f"{key} div {bucket}").alias(group)
     window = Window.partitionBy(*within, group).orderBy(key).rowsBetween(*before)
-    rows = rows.withColumn("_inner", F.coalesce(F.sum(value).over(window), F.lit(0)))
-    totals = df.select(*within, F.floor(F.col(key) / bucket).alias(group), value)
-    totals = totals.groupBy(*within, group).agg(F.sum(value).alias("_total"))
-    totals = _level(totals, group, "_total", "_outer", within, bucket, top // bucket).drop("_total")
+    rows = df.select("*", number).withColumn(inner, F.coalesce(F.sum(value).over(window), F.lit(0)))
+    totals = df.select(*within, number, value).groupBy(*within, group).agg(F.sum(value).alias(total))
+    totals = _level(totals, group, total, outer, within, bucket, top // bucket).drop(total)
     joined = rows.join(totals, [*within, group])
-    return joined.withColumn(out, F.col("_inner") + F.col("_outer")).drop(group, "_inner", "_outer")
+    return joined.withColumn(out, F.col(inner) + F.col(outer)).drop(group, inner, outer)
 
 
 def within_budget(docs: DataFrame, key: str, size: str, budget: int) -> DataFrame:

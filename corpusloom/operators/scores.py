@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,11 @@ def score_rows(vectors: DataFrame, row: str, vector: str) -> DataFrame:
     )
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: a lambda would compute it per element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def softcap(logit: Column, cap: float = SOFTCAP) -> Column:
     return F.tanh(logit / cap) * cap
 
@@ -29,9 +36,9 @@ def cross_entropy(vectors: DataFrame, row: str, vector: str, target: str, ignore
     A row carries its whole score vector, so no shuffle is needed.
     """
     logits = F.col(vector).cast("array<double>")
-    top = F.array_max(logits)
-    total = F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
-    loss = F.log(total) + top - F.get(logits, F.col(target))
+    total = lambda top: F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+    log_total = bind(F.array_max(logits), lambda top: F.log(total(top)) + top)
+    loss = log_total - F.get(logits, F.col(target))
     return vectors.where(F.col(target) != ignore).select(F.col(row).alias("row_id"), loss.alias("loss"))
 
 
@@ -47,8 +54,9 @@ def reduce_loss(losses: DataFrame, how: str = "mean") -> DataFrame:
 def top_k_mask(vector: Column, k: int) -> Column:
     """Scores below the ``k``-th largest become -infinity; ties with it are kept."""
     ordered = F.sort_array(vector, asc=False)
-    limit = F.element_at(ordered, F.least(F.lit(k), F.size(vector)))
-    return F.transform(vector, lambda x: F.when(x < limit, F.lit(float("-inf"))).otherwise(x))
+    last = F.element_at(ordered, F.least(F.lit(k), F.size(vector)))
+    low = F.lit(float("-inf"))
+    return bind(last, lambda limit: F.transform(vector, lambda x: F.when(x < limit, low).otherwise(x)))
 
 
 def top_k_rows(scores: DataFrame, k: int) -> DataFrame:
@@ -58,10 +66,10 @@ def top_k_rows(scores: DataFrame, k: int) -> DataFrame:
 
 
 def softmax(vector: Column, temperature: float = 1.0) -> Column:
-    top = F.array_max(vector)
-    weight = lambda x: F.exp((x - top) / temperature)
-    total = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + weight(x))
-    return F.transform(vector, lambda x: weight(x) / total)
+    weights = lambda top: F.transform(vector, lambda x: F.exp((x - top) / temperature))
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+    shares = lambda values: bind(total(values), lambda t: F.transform(values, lambda w: w / t))
+    return bind(bind(F.array_max(vector), weights), shares)
 
 
 def greedy(scores: DataFrame) -> DataFrame:
@@ -91,8 +99,7 @@ def draw(scores: DataFrame, temperature: float = 1.0, seed: int = SEED) -> DataF
 def rms_norm(vector: Column, eps: float = 0.0) -> Column:
     """Divide by the root of the mean square."""
     squares = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x)
-    scale = F.sqrt(squares / F.size(vector) + eps)
-    return F.transform(vector, lambda x: x / scale)
+    return bind(F.sqrt(squares / F.size(vector) + eps), lambda scale: F.transform(vector, lambda x: x / scale))
 
 
 def validation_loss(losses: DataFrame, batches: int = VALIDATION_BATCHES) -> DataFrame:

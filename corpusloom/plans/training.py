@@ -100,18 +100,14 @@ def train_on_chunks(chunks: DataFrame, num_merges: int, batch: bool = True) -> l
 
 
 def _count_windows(base: DataFrame) -> DataFrame:
-    chars = P.with_symbols(base, "seq", "_chars")
-    windows = chars.select("cnt", F.explode(P.windows_of(F.col("_chars"))).alias("gram"))
-    return windows.groupBy("gram").agg(F.sum("cnt").alias("n"))
+    return P.explode_grams(base, 3, "seq", "cnt").groupBy("gram").agg(F.sum("cnt").alias("n"))
 
 
 def _corrected(grams: DataFrame, base: DataFrame, pending: list[S.Merge]) -> DataFrame:
     """Window counts after the pending merges."""
     if not pending:
         return grams
-    after = base.withColumn("_after", S.fold(F.col("seq"), pending))
-    changed = after.where(F.col("_after") != F.col("seq"))
-    deltas = P.signed_windows(changed, "seq", "_after", "cnt")
+    deltas = P.signed_grams(base, pending, 3, "seq", "cnt")
     summed = grams.unionByName(deltas).groupBy("gram").agg(F.sum("n").alias("n"))
     return summed.where(F.col("n") > 0)
 
@@ -122,14 +118,11 @@ def _candidates(grams: DataFrame) -> DataFrame:
     ``bound`` is the largest count of a three-token window around the pair: no
     pair that merging it creates can be more frequent.
     """
-    whole = F.length("gram") == 3
-    head = F.struct(
-        F.substring("gram", 1, 2).alias("pair"),
-        F.col("n"),
-        F.when(whole, F.col("n")).otherwise(F.lit(0)).alias("bound"),
+    rows = grams.selectExpr(
+        """inline(if(length(gram) = 3,
+             array(struct(left(gram, 2) AS pair, n, n AS bound), struct(right(gram, 2) AS pair, 0L AS n, n AS bound)),
+             array(struct(gram AS pair, n, 0L AS bound))))"""
     )
-    tail = F.struct(F.substring("gram", 2, 2).alias("pair"), F.lit(0).cast("long").alias("n"), F.col("n").alias("bound"))
-    rows = grams.select(F.inline(F.when(whole, F.array(head, tail)).otherwise(F.array(head))))
     counts = rows.groupBy("pair").agg(F.sum("n").alias("n"), F.max("bound").alias("bound"))
     return P.best_pairs(counts, CANDIDATES)
 
@@ -137,16 +130,18 @@ def _candidates(grams: DataFrame) -> DataFrame:
 def _independent_prefix(best: list) -> list:
     """Leading pairs that stay the next best ones whatever the earlier of them create.
 
-    They share no token, so each keeps its count; and each is more frequent than
-    any pair that an earlier one can create.
+    None ends with the token that another begins with, so no occurrence of one
+    touches an occurrence of another and each keeps its count; and each is more
+    frequent than any pair that an earlier one can create.
     """
-    take, used, bound = [], set(), -1
+    take, firsts, seconds, bound = [], set(), set(), -1
     for row in best:
-        tokens = set(row.pair)
-        if take and (row.n <= bound or tokens & used):
+        first, second = row.pair
+        if take and (row.n <= bound or first in seconds or second in firsts):
             break
         take.append(row)
-        used |= tokens
+        firsts.add(first)
+        seconds.add(second)
         bound = max(bound, row.bound)
     return take
 

@@ -29,9 +29,11 @@ def list_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for CPU-heavy work on an input of few files or row groups.
+    """Use all cores for CPU-heavy work on a scan of few files or row groups.
 
-    An input that already has enough partitions, as any large one does, is not shuffled.
+    A scan that already has enough partitions, as any large one does, is not
+    shuffled. Not for the result of a join or aggregation: counting its
+    partitions would run it.
     """
     spark = df.sparkSession
     if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
@@ -61,7 +63,7 @@ def scan_documents(
     )
     columns = ["shard_idx", "row_idx", "doc_key", text]
     if rows_per_group:
-        rows = rows.withColumn("rg_idx", F.floor(F.col("row_idx") / rows_per_group).cast("int"))
+        rows = rows.withColumn("rg_idx", F.expr(f"cast(row_idx div {rows_per_group} AS int)"))
         columns.insert(1, "rg_idx")
     return rows.select(*columns)
 
@@ -73,11 +75,9 @@ def require_column(df: DataFrame, text: str) -> None:
 
 def virtual_shards(docs: DataFrame, key: str, rows_per_shard: int, rows_per_group: int) -> DataFrame:
     """Number shards and row groups by an order key, for a corpus that is one table."""
-    per_shard = F.lit(rows_per_shard)
-    in_shard = F.col(key) % per_shard
-    return docs.withColumn("shard_idx", F.floor(F.col(key) / per_shard).cast("int")).withColumn(
-        "rg_idx", F.floor(in_shard / rows_per_group).cast("int")
-    )
+    shard = f"cast({key} div {rows_per_shard} AS int)"
+    group = f"cast({key} % {rows_per_shard} div {rows_per_group} AS int)"
+    return docs.withColumns({"shard_idx": F.expr(shard), "rg_idx": F.expr(group)})
 
 
 def split(docs: DataFrame, which: str, last_shard: int | None = None) -> DataFrame:
@@ -112,4 +112,4 @@ def loader_batches(docs: DataFrame, key: str, size: int = LOADER_BATCH) -> DataF
     from corpusloom.operators.prefix import exclusive_prefix_sum
 
     ranked = exclusive_prefix_sum(docs.withColumn("_one", F.lit(1).cast("long")), key, "_one", "_row", ["shard_idx", "rg_idx"])
-    return ranked.withColumn("batch_idx", F.floor(F.col("_row") / size).cast("long")).drop("_one", "_row")
+    return ranked.withColumn("batch_idx", F.expr(f"_row div {size}")).drop("_one", "_row")
