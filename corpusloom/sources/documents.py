@@ -5,27 +5,40 @@ from __future__ import annotations
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.session import width
 
 # Rows of one shard stay below this, so that shard and row make one order key.
 ROWS_PER_SHARD_LIMIT = 1 << 36
+SHARDS_SCHEMA = "shard_idx int, file_name string"
 # Fixed value: documents that the loader encodes at a time.
 LOADER_BATCH = 128
 
 
-def list_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """Parquet files of a folder in name order: ``(shard_idx, file_name)``; none if it does not exist."""
+def parquet_reader(spark: SparkSession, skip_unreadable: bool = False) -> DataFrameReader:
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    return reader.option("ignoreCorruptFiles", str(skip_unreadable).lower())
+
+
+def shard_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the Parquet files of a folder, sorted; none if it does not exist.
+
+    This is the listing that the driver makes to plan a scan; no file is opened.
+    """
     try:
-        files = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder).inputFiles()
+        files = parquet_reader(spark).schema("text string").parquet(folder).inputFiles()
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = []
-    names = sorted(unquote(file.rsplit("/", 1)[-1]) for file in files)
-    return spark.createDataFrame(list(enumerate(names)), "shard_idx int, file_name string")
+        return []
+    return sorted(unquote(file.rsplit("/", 1)[-1]) for file in files)
+
+
+def list_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Parquet files of a folder in name order: ``(shard_idx, file_name)``."""
+    return spark.createDataFrame(list(enumerate(shard_names(spark, folder))), SHARDS_SCHEMA)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -51,14 +64,15 @@ def scan_documents(
     files are skipped; a missing text column is an error.
     """
     shards = list_shards(spark, folder)
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
-    docs = reader.option("ignoreCorruptFiles", str(skip_unreadable).lower()).schema(f"`{text}` string").parquet(folder)
-    require_column(reader.parquet(folder), text)
-    rows = docs.select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_idx"), text
-    )
+    if shards.isEmpty():
+        docs = spark.createDataFrame([], f"file_name string, row_idx long, `{text}` string")
+    else:
+        require_column(spark, folder, text)
+        scan = parquet_reader(spark, skip_unreadable).schema(f"`{text}` string").parquet(folder)
+        name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+        docs = scan.select(name.alias("file_name"), row.alias("row_idx"), text)
     # One row per file name: the listing is what the driver holds to plan the scan.
-    rows = rows.join(shards, "file_name").withColumn(
+    rows = docs.join(shards, "file_name").withColumn(
         "doc_key", F.col("shard_idx").cast("long") * ROWS_PER_SHARD_LIMIT + F.col("row_idx")
     )
     columns = ["shard_idx", "row_idx", "doc_key", text]
@@ -68,9 +82,17 @@ def scan_documents(
     return rows.select(*columns)
 
 
-def require_column(df: DataFrame, text: str) -> None:
-    if text not in df.columns:
-        raise ValueError(f"documents have no column {text!r}: {df.columns}")
+def require_column(spark: SparkSession, folder: str, text: str) -> None:
+    """Fail clearly when the files have no column for the text."""
+    try:
+        columns = parquet_reader(spark, True).parquet(folder).columns
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        # The file whose footer was tried is corrupt; the executors try them all.
+        columns = parquet_reader(spark, True).option("mergeSchema", "true").parquet(folder).columns
+    if text not in columns:
+        raise ValueError(f"documents have no column {text!r}: {columns}")
 
 
 def virtual_shards(docs: DataFrame, key: str, rows_per_shard: int, rows_per_group: int) -> DataFrame:
