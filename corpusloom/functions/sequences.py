@@ -71,6 +71,11 @@ def _string_array(values: Sequence[str], sep: str) -> Column:
     return F.split(F.lit(sep.join(values)), sep)
 
 
+def _escaped(chars: str) -> str:
+    """``chars`` for a SQL string literal."""
+    return "".join(f"\\U{ord(c):08X}" for c in chars)
+
+
 def fold(seq: Column, merges: Sequence[Merge]) -> Column:
     """Apply merges in rank order to a sequence.
 
@@ -79,12 +84,9 @@ def fold(seq: Column, merges: Sequence[Merge]) -> Column:
     """
     if not merges:
         return seq
-    rules = _string_array([symbol(a) + symbol(b) + symbol(n) for a, b, n in merges], BREAK)
-    return F.aggregate(
-        rules,
-        seq,
-        lambda acc, rule: F.replace(acc, F.substring(rule, 1, 2), F.substring(rule, 3, 1)),
-    )
+    rules = (f"struct('{_escaped(symbol(a) + symbol(b))}' AS p, '{_escaped(symbol(n))}' AS n)" for a, b, n in merges)
+    literal = F.expr(f"array({', '.join(rules)})")
+    return F.aggregate(literal, seq, lambda acc, rule: F.replace(acc, rule["p"], rule["n"]))
 
 
 def pair_ids(pair: Column) -> tuple[Column, Column]:

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from corpusloom.functions import sequences as S
 from corpusloom.functions.text import lossy_utf8
 from corpusloom.operators.pretokenize import allowed_specials, chunk_array, refuse_specials, split_specials
+from corpusloom.session import width
 
-# Up to this many merges, encoding is a fold of built-in string replacements.
-FOLD_LIMIT = 256
+# Up to this many merges, encoding is a fold of built-in string replacements;
+# each costs a pass over the text, so that more are slower than the Arrow path.
+FOLD_LIMIT = 48
 # Distinct chunks that a task remembers; beyond it the memory starts afresh.
 CACHE_SIZE = 1 << 18
 
@@ -144,8 +146,11 @@ def encode_chunk_table(
     out: str = "ids",
     fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
-    """Encode a table of distinct chunks, once each."""
-    return chunks.withColumn(out, encode_sequences(F.array(S.byte_symbols(F.col(chunk))), merges, fold_limit))
+    """Encode a table of distinct chunks, once each.
+
+    Few bytes, much work: adaptive execution would leave it to too few tasks.
+    """
+    return chunks.repartition(width(chunks.sparkSession), chunk).withColumn(out, encode_sequences(F.array(S.byte_symbols(F.col(chunk))), merges, fold_limit))
 
 
 def token_counts(encoded_chunks: DataFrame, ids: str = "ids", weight: str = "cnt") -> DataFrame:

@@ -13,7 +13,9 @@ from corpusloom.operators import pairs as P
 from corpusloom.session import checkpoint, width
 
 CANDIDATES = 64
+# A checkpoint is due after so many rounds, or merges that every round repeats.
 ROUNDS_PER_CHECKPOINT = 8
+PENDING_MERGES = 32
 
 
 @dataclass(frozen=True)
@@ -91,11 +93,12 @@ def train_on_chunks(chunks: DataFrame, num_merges: int, batch: bool = True) -> l
             merges.append(TrainedMerge(rank, a, b, 256 + rank, row.n))
             pending.append((a, b, 256 + rank))
         rounds += 1
-        if rounds % ROUNDS_PER_CHECKPOINT == 0 and len(merges) < num_merges:
+        due = rounds == ROUNDS_PER_CHECKPOINT or len(pending) >= PENDING_MERGES
+        if due and len(merges) < num_merges:
             grams = checkpoint(_corrected(grams, base, pending))
             merged = base.select(S.fold(F.col("seq"), pending).alias("seq"), "cnt")
             base = checkpoint(merged.where(F.length("seq") > 1))
-            pending = []
+            pending, rounds = [], 0
     return merges
 
 

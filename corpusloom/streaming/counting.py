@@ -9,12 +9,18 @@ from pyspark.sql.streaming import StreamingQuery
 from corpusloom.operators.pairs import chunk_counts
 
 
-def start_counting(docs: DataFrame, pattern: str | None, checkpoint: str, text: str = "text") -> StreamingQuery:
+def start_counting(
+    docs: DataFrame, pattern: str | None, checkpoint: str, text: str = "text", partitions: int | None = None
+) -> StreamingQuery:
     """Count the chunks of a stream of documents that are available now.
 
+    ``partitions`` spreads documents that arrive in few files.
+
     The counts live in the state store below ``checkpoint``, one entry per
     distinct chunk; restarting with the same folder goes on from there.
     """
+    if partitions:
+        docs = docs.repartition(partitions)
     return (
         chunk_counts(docs, pattern, text)
         .writeStream.outputMode("update")
