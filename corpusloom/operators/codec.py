@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import sequences as S
+from corpusloom.functions.tasks import merge_chunk, symbol_ids
 from corpusloom.functions.text import lossy_utf8
 from corpusloom.operators.pretokenize import allowed_specials, chunk_array, refuse_specials, split_specials
 from corpusloom.session import width
@@ -21,22 +22,6 @@ FOLD_LIMIT = 48
 CACHE_SIZE = 1 << 18
 
 
-def _merge_chunk(seq: str, rules: Mapping[str, str]) -> str:
-    """Apply the lowest-ranked rule present until none is (new symbols sort by rank)."""
-    while len(seq) > 1:
-        found = [(rules[p], p) for p in set(map("".join, zip(seq, seq[1:]))) if p in rules]
-        if not found:
-            break
-        new, pair = min(found)
-        seq = seq.replace(pair, new)
-    return seq
-
-
-def _to_ids(seq: str) -> np.ndarray:
-    points = np.frombuffer(seq.encode("utf-32-le"), dtype="<u4").astype("int32")
-    return np.where(points < S.SURROGATES, points, points - S.GAP).astype("int32")
-
-
 def _encode_chunks_udf(merges: Sequence[S.Merge]):
     """Arrow function ``array<string>`` of byte sequences -> ``array<int>``.
 
@@ -44,26 +29,27 @@ def _encode_chunks_udf(merges: Sequence[S.Merge]):
     the batch by its dictionary indices.
     """
     rules = {S.symbol(a) + S.symbol(b): S.symbol(n) for a, b, n in merges}
+    surrogates, gap = S.SURROGATES, S.GAP
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, str] = {}
         for batch in batches:
             offsets = np.asarray(batch.offsets) - batch.offsets[0].as_py()
             chunks = batch.flatten().dictionary_encode()
-            parts = []
+            merged = []
             for seq in chunks.dictionary.to_pylist():
                 if seq not in known:
                     if len(known) >= CACHE_SIZE:
                         known = {}
-                    known[seq] = _to_ids(_merge_chunk(seq, rules))
-                parts.append(known[seq])
+                    known[seq] = merge_chunk(seq, rules)
+                merged.append(known[seq])
             index = np.asarray(chunks.indices)
-            sizes = np.array([len(p) for p in parts], dtype="int64")
-            ends = np.concatenate(([0], np.cumsum(sizes[index], dtype="int64")))
-            flat = np.concatenate([parts[i] for i in index]) if len(index) else np.zeros(0, "int32")
-            yield pa.LargeListArray.from_arrays(pa.array(ends[offsets]), pa.array(flat, pa.int32())).cast(
-                pa.list_(pa.int32())
-            )
+            sizes = np.fromiter(map(len, merged), "int64", len(merged))
+            ends = np.concatenate(([0], np.cumsum(sizes[index])))
+            flat = symbol_ids("".join([merged[i] for i in index.tolist()]), surrogates, gap)
+            mask = batch.is_null() if batch.null_count else None
+            lists = pa.LargeListArray.from_arrays(ends[offsets], pa.array(flat, pa.int32()), mask=mask)
+            yield lists.cast(pa.list_(pa.int32()))
 
     return F.arrow_udf(encode, "array<int>")
 

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import sequences as S
+from corpusloom.functions.tasks import split_at_rank
 from corpusloom.functions.text import lossy_utf8, render
-from corpusloom.plans.training import MERGES_SCHEMA, TrainedMerge, merges_frame
+from corpusloom.plans.training import TrainedMerge, merges_frame
 
 SPECIALS_SCHEMA = "id int, token string"
 
@@ -122,18 +123,6 @@ def inverse(permutation: Sequence[int]) -> list[int]:
     return back
 
 
-def split_at_rank(token: bytes, ranks: Mapping[bytes, int], limit: int) -> list[bytes]:
-    """Merge neighbours of ``token`` by lowest rank, using only ranks below ``limit``."""
-    cuts = list(range(len(token) + 1))
-    while len(cuts) > 2:
-        options = [(ranks.get(token[cuts[i - 1] : cuts[i + 1]], limit), i) for i in range(1, len(cuts) - 1)]
-        rank, cut = min(options)
-        if rank >= limit:
-            break
-        del cuts[cut]
-    return [token[i:j] for i, j in zip(cuts, cuts[1:])]
-
-
 def recover_merges(ranks: DataFrame) -> DataFrame:
     """Merges ``(rank, a, b, new_id)`` behind a table of ranks ``(id, bytes)``.
 

@@ -30,7 +30,7 @@ def test_encode_equals_python(docs, texts, tok, fold_limit):
 def test_many_merges(spark, corpus, fold_limit):
     """More merges than are folded by default, on whole texts."""
     some = corpus.where("doc_id < 6")
-    tok = CorpusTokenizer.train(corpus.where("doc_id < 60"), 256 + 300, specials=())
+    tok = CorpusTokenizer.train(corpus.where("doc_id < 40"), 256 + 100, specials=())
     assert len(tok.merges) > codec.FOLD_LIMIT
     rows = some.select("text", tok.encode("text", fold_limit=fold_limit).alias("ids")).collect()
     for r in rows:
@@ -38,6 +38,13 @@ def test_many_merges(spark, corpus, fold_limit):
     assert tok.round_trip_failures(corpus).count() == 0
 
 
+@pytest.mark.parametrize("fold_limit", [1000, 0])
+def test_null_texts_stay_null(spark, tok, fold_limit):
+    df = spark.createDataFrame([(0, None), (1, "ab"), (2, ""), (3, None)], "i int, text string").coalesce(1)
+    rows = df.select("i", tok.encode("text", fold_limit=fold_limit).alias("ids")).collect()
+    assert {r.i: r.ids for r in rows} == {0: None, 1: golden.encode("ab", learned(tok), GPT4_PATTERN), 2: [], 3: None}
+
+
 def test_whole_text_encoding(docs, texts):
     tok = CorpusTokenizer.train(docs, 256 + 10, pattern=None, specials=(), tie="first_seen", order="doc_id")
     rules = golden.train(texts, 10, None, first_seen=True)
@@ -100,6 +107,16 @@ def test_permuted_ranks(spark, docs, tok):
     assert df.select(other.decode("ids")).first()[0] == "<|endoftext|>"
 
 
+@pytest.mark.parametrize("length", [5, 100, 600, 2000])
+def test_chunks_of_any_length(spark, tok, length):
+    """Chunks longer than the limit are merged another way."""
+    text = ("the" * length)[:length]
+    df = spark.createDataFrame([(text,)], "text string")
+    for limit in (1000, 0):
+        ids = df.select(tok.encode("text", fold_limit=limit)).first()[0]
+        assert ids == golden.encode(text, learned(tok), GPT4_PATTERN)
+
+
 def test_chunk_table_and_token_counts(spark, tok):
     chunks = spark.createDataFrame([("the", 3), ("tt", 2)], "chunk string, cnt long")
     encoded = codec.encode_chunk_table(chunks, tok.rules)
