@@ -143,3 +143,35 @@ SELECT rank, win AS batch_id, r AS "row", shard_idx, rg_idx,
        array_to_string(tokens[r * {BATCH_COLS} + 1 : r * {BATCH_COLS} + {BATCH_COLS}], ' ') AS inputs,
        array_to_string(tokens[r * {BATCH_COLS} + 2 : r * {BATCH_COLS} + {BATCH_COLS} + 1], ' ') AS targets
 FROM wins, range({BATCH_ROWS}) t(r)"""
+
+
+# Hex bytes framed by blanks, rewritten to the well-formed ones of the decoded text; every
+# ill-formed sequence becomes the replacement character. A mark instead of the blank means done.
+_REPLACED = "_EF_BF_BD"
+_WELL_FORMED = [
+    (r" (C[2-9A-F]|D.) ([89AB].)", r"_\1_\2"),
+    (r" (E0) ([AB].) ([89AB].)", r"_\1_\2_\3"),
+    (r" (E[1-9A-CEF]) ([89AB].) ([89AB].)", r"_\1_\2_\3"),
+    (r" (ED) ([89].) ([89AB].)", r"_\1_\2_\3"),
+    (r" (F0) ([9AB].) ([89AB].) ([89AB].)", r"_\1_\2_\3_\4"),
+    (r" (F[123]) ([89AB].) ([89AB].) ([89AB].)", r"_\1_\2_\3_\4"),
+    (r" (F4) (8.) ([89AB].) ([89AB].)", r"_\1_\2_\3_\4"),
+    (r" F0 [9AB]. [89AB].| F[123] [89AB]. [89AB].| F4 8. [89AB].", _REPLACED),
+    (r" E0 [AB].| E[1-9A-CEF] [89AB].| ED [89].| F0 [9AB].| F[123] [89AB].| F4 8.", _REPLACED),
+    (r" [89A-F].", _REPLACED),
+    (r" ([0-7].)", r"_\1"),
+]
+
+
+def lossy_hex(hexed: str) -> str:
+    """SQL for the hex bytes of a text after lossy decoding."""
+    sql = rf"regexp_replace({hexed}, '(..)', ' \1', 'g')"
+    for pattern, instead in _WELL_FORMED:
+        sql = f"regexp_replace({sql}, '{pattern}', '{instead}', 'g')"
+    return f"replace({sql}, '_', '')"
+
+
+def escaped(text: str) -> str:
+    """SQL for a text with its control characters escaped."""
+    shown = r"CASE WHEN regexp_full_match(c, '\p{C}|\n') THEN '\u' || lower(printf('%04X', ord(c))) ELSE c END"
+    return f"list_aggregate(list_transform(string_split({text}, ''), lambda c: {shown}), 'string_agg', '')"

@@ -94,20 +94,6 @@ QUERIES: dict[str, Query] = {
 
 _fixed = ", ".join(f"({i}, '{name}')" for name, i in GPT4_SPECIALS.items())
 
-# Blank-framed hex bytes, each replaced by as many letters as its text has bytes.
-_valid = [
-    (r" (C[2-9A-F]|D.) [89AB].", "tt"),
-    (r" E0 [AB]. [89AB].| E[1-9A-CEF] [89AB]. [89AB].| ED [89]. [89AB].", "ttt"),
-    (r" F0 [9AB]. [89AB]. [89AB].| F[123] [89AB]. [89AB]. [89AB].| F4 8. [89AB]. [89AB].", "tttt"),
-    (r" F0 [9AB]. [89AB].| F[123] [89AB]. [89AB].| F4 8. [89AB].", "ttt"),
-    (r" E0 [AB].| E[1-9A-CEF] [89AB].| ED [89].| F0 [9AB].| F[123] [89AB].| F4 8.", "ttt"),
-    (r" [89A-F].", "ttt"),
-    (r" [0-7].", "t"),
-]
-_text_length = r"regexp_replace(h, '(..)', ' \1', 'g')"
-for _pattern, _letters in _valid:
-    _text_length = f"regexp_replace({_text_length}, '{_pattern}', '{_letters}', 'g')"
-
 # ``perm(byte, p)``: bytes by falling frequency.
 PERMUTATION = f""",
 perm AS MATERIALIZED (
@@ -142,9 +128,7 @@ FROM (SELECT chunk, {O.id_list('s')} AS i FROM w0), plist""",
         more=PERMUTATION,
     ),
     "d7_render_chunks": f"""
-SELECT chunk, list_aggregate(list_transform(string_split(chunk, ''),
-    lambda c: CASE WHEN regexp_full_match(c, '\\p{{C}}|\\n') THEN '\\u' || lower(printf('%04X', ord(c))) ELSE c END),
-    'string_agg', '') AS shown
+SELECT chunk, {O.escaped("chunk")} AS shown
 FROM (SELECT DISTINCT chunk FROM ({O.numbered("doc_id", O.split("text", O.CHAT), "documents")}))""",
     "d8_lookups": O.with_training(
         """
@@ -157,7 +141,7 @@ UNION ALL SELECT 'token ' || id, decode(unhex(h)) FROM vocab WHERE id BETWEEN 32
     ),
     "d9_token_bytes": O.with_training(
         f"""
-SELECT id, length({_text_length}) AS n_bytes, length(h) // 2 AS raw_bytes FROM vocab
+SELECT id, length({O.lossy_hex("h")}) // 2 AS n_bytes, length(h) // 2 AS raw_bytes FROM vocab
 UNION ALL SELECT id, 0, octet_length(encode(token)) FROM specials""",
         more=O.VOCAB + O.SPECIALS,
     ),
