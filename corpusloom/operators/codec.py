@@ -17,7 +17,7 @@ from corpusloom.session import width
 
 # Up to this many merges, encoding is a fold of built-in string replacements;
 # each costs a pass over the text, so that more are slower than the Arrow path.
-FOLD_LIMIT = 48
+FOLD_LIMIT = 12
 # Distinct chunks that a task remembers; beyond it the memory starts afresh.
 CACHE_SIZE = 1 << 18
 
