@@ -7,11 +7,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, pieces, pseudonyms, shingle_join, toxicity
+from corpusloom.llm import decontamination, pieces, pseudonyms, shingle_join, style_tree, suffix_array, suffix_tree, token_counts, topk, toxicity
 
 #: Public tokenizer files; the folder is a parameter.
 TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 #: Pseudonyms are as secret as this key: set one of your own.
 PSEUDONYM_KEY = os.environ.get("CORPUSLOOM_PSEUDONYM_KEY", "a key for trials only").encode()
 
@@ -33,11 +34,39 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), same.alias("round_trip"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return style_tree.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the words of windows of 50 words that stand in a document before it."""
+    found = suffix_tree.without_repeated_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the bytes of windows of 100 bytes that begin somewhere before."""
+    found = suffix_array.without_repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text with pseudonyms for personal data."""
     return pseudonyms.pseudonymize(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best candidates of every fiftieth vector by integer inner product."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and word pieces of every text."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.Automaton(token_counts.read_ranks(RANKS)))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every text, learned without the held-out quarter of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -51,11 +80,48 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-    "op2_sentencepiece": op2_sentencepiece,
-    "op6_pseudonyms": op6_pseudonyms,
-    "op9_toxicity": op9_toxicity,
-    "op10_decontamination": op10_decontamination,
+_REGISTERED = (
+    op1_ngram_jaccard_join,
+    op2_sentencepiece,
+    op3_html_text,
+    op4_repeated_words,
+    op5_repeated_bytes,
+    op6_pseudonyms,
+    op7_top_k,
+    op8_token_counts,
+    op9_toxicity,
+    op10_decontamination,
+)
+QUERIES = {query.__name__: query for query in _REGISTERED}
+
+ORACLES = {
+    "op4_repeated_words": """
+        WITH words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS said FROM words, range(1, len(w) - 48) AS at(i)
+        ), first AS (
+            SELECT said, min(doc_id) AS doc_id FROM windows GROUP BY said
+        ), hit AS (
+            SELECT w.doc_id, w.i FROM windows w JOIN first f ON w.said = f.said WHERE w.doc_id > f.doc_id
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + k AS i FROM hit, range(50) AS at(k)
+        ), kept AS (
+            SELECT s.doc_id, string_agg(s.word, ' ' ORDER BY s.i) AS text, count(*) AS n
+            FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words) s
+            ANTI JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id
+        )
+        SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM words w LEFT JOIN kept k USING (doc_id)
+    """,
+    "op7_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score FROM v AS q, v WHERE q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+        QUALIFY rank <= 5
+    """,
 }
-ORACLES: dict[str, str] = {}
