@@ -97,15 +97,15 @@ QUERIES = {query.__name__: query for query in _REGISTERED}
 ORACLES = {
     "op4_repeated_words": """
         WITH words AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w FROM documents
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
         ), windows AS (
-            SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS said FROM words, range(1, len(w) - 48) AS at(i)
+            SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS said FROM words, range(1, len(w) - 48) AS r(i)
         ), first AS (
             SELECT said, min(doc_id) AS doc_id FROM windows GROUP BY said
         ), hit AS (
             SELECT w.doc_id, w.i FROM windows w JOIN first f ON w.said = f.said WHERE w.doc_id > f.doc_id
         ), gone AS (
-            SELECT DISTINCT doc_id, i + k AS i FROM hit, range(50) AS at(k)
+            SELECT DISTINCT doc_id, i + k AS i FROM hit, range(50) AS r(k)
         ), kept AS (
             SELECT s.doc_id, string_agg(s.word, ' ' ORDER BY s.i) AS text, count(*) AS n
             FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words) s
@@ -116,8 +116,8 @@ ORACLES = {
     """,
     "op7_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score FROM v AS q, v WHERE q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
         )

@@ -98,9 +98,10 @@ def top_k(
     asked = integer_vectors(queries, id_column, vector_column, scale).groupBy("vec_id").agg(F.min("parts").alias("parts"))
     asked = materialize(asked, "queries")
     row_blocks, query_blocks = -(-rows.count() // BLOCK) or 1, -(-asked.count() // QUERIES) or 1
+    blocks = lambda n: F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
     # Every block of queries meets every block of rows once; the key is the pair of blocks.
-    of_rows = rows.withColumn("rows", F.pmod(F.xxhash64("vec_id", "parts"), F.lit(row_blocks))).withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("long"))
-    of_queries = asked.withColumn("asked", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks))).withColumn("rows", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).cast("long"))
+    of_rows = rows.withColumn("rows", F.pmod(F.xxhash64("vec_id", "parts"), F.lit(row_blocks))).withColumn("asked", F.explode(blocks(query_blocks)))
+    of_queries = asked.withColumn("asked", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks))).withColumn("rows", F.explode(blocks(row_blocks)))
 
     def search(block: pa.Table, wanted: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]
