@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.patterns import CHAT_PATTERN, CHAT_SPECIALS
 from corpusloom.operators.pairs import chunk_counts, words
 from corpusloom.plans.tokenizer import CorpusTokenizer
-from corpusloom.sources.documents import spread, virtual_shards
+from corpusloom.sources.documents import virtual_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,8 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents, on all cores: each test table is a single row group."""
-    return spread(table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text"))), "doc_id")
+    return table(spark, sf_dir, "documents").select(*(columns or ("doc_id", "text")))
 
 
 def sharded(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

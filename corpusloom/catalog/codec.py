@@ -8,7 +8,7 @@ from corpusloom.catalog import oracle as O
 from corpusloom.catalog.base import Query, documents, joined, tokenizer
 from corpusloom.catalog.chunks import CHAT_TURNS, chat_turns
 from corpusloom.catalog.training import WHOLE_TEXT_MERGES
-from corpusloom.catalog.vocab import PERMUTATION, frequency_permutation
+from corpusloom.catalog.vocab import PERMUTATION, permuted_tokenizer
 from corpusloom.functions.patterns import CHAT_PATTERN, CHAT_SPECIALS
 from corpusloom.operators import codec, pairs, vocabulary
 from corpusloom.plans.tokenizer import CorpusTokenizer
@@ -47,12 +47,7 @@ def e5_encode_whole_texts(spark, sf_dir):
 
 def e6_encode_permuted(spark, sf_dir):
     """A tokenizer rebuilt from ranks whose single bytes are permuted."""
-    plain = tokenizer(spark, sf_dir)
-    there = frequency_permutation(spark, sf_dir)
-    ranks = plain.mergeable_ranks(spark)
-    moved = vocabulary.permute(F.array("id"), there)[0]
-    ranks = ranks.select(F.when(F.col("id") < 256, moved).otherwise(F.col("id")).alias("id"), "bytes")
-    tok = CorpusTokenizer.from_ranks(ranks, CHAT_PATTERN)
+    tok = permuted_tokenizer(spark, sf_dir)
     return documents(spark, sf_dir).select("doc_id", joined(tok.encode("text")).alias("ids"))
 
 

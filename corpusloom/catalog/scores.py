@@ -99,7 +99,7 @@ SELECT row_id, token_id FROM (
     SELECT *, (('0x' || substr(md5(row_id || ':' || token_id || ':42'), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296 AS u
     FROM t WHERE place <= {TOP_K})) WHERE first = 1""",
     "g7_rms_norm": f"""{_scores}
-SELECT row_id, token_id, round(logit / sqrt(avg(logit * logit) OVER (PARTITION BY row_id)), 6) AS value FROM s""",
+SELECT row_id, token_id, round(logit / sqrt(avg(logit * logit) OVER (PARTITION BY row_id) + {S.RMS_EPSILON!r}), 6) AS value FROM s""",
     "g8_validation_loss": f"""{_losses}
 SELECT round(avg(loss), 6) AS val_loss FROM (
   SELECT row_id // {VECTORS_PER_BATCH} AS batch_id, avg(loss) AS loss FROM l GROUP BY 1) WHERE batch_id < 20""",

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from corpusloom.catalog import oracle as O
 from corpusloom.catalog.base import Query, joined, tokenizer, word_table
 from corpusloom.functions import sequences as S
-from corpusloom.functions.patterns import GPT4_SPECIALS
+from corpusloom.functions.patterns import CHAT_PATTERN, GPT4_SPECIALS
 from corpusloom.functions.text import render
 from corpusloom.operators import vocabulary
+from corpusloom.plans.tokenizer import CorpusTokenizer
 
 
 def d1_vocabulary(spark, sf_dir):
@@ -18,8 +19,10 @@ def d1_vocabulary(spark, sf_dir):
 
 
 def d2_mergeable_ranks(spark, sf_dir):
-    ranks = tokenizer(spark, sf_dir).mergeable_ranks(spark)
-    return ranks.orderBy("id").select("id", F.hex("bytes").alias("bytes_hex"))
+    """Ranks of the tokenizer, and of one rebuilt from ranks with permuted bytes, which must give them back."""
+    ranks = tokenizer(spark, sf_dir).mergeable_ranks(spark).select("id", F.hex("bytes").alias("bytes_hex"))
+    permuted = permuted_tokenizer(spark, sf_dir).mergeable_ranks(spark).select("id", F.hex("bytes").alias("permuted_hex"))
+    return ranks.join(permuted, "id")
 
 
 def d3_special_ids(spark, sf_dir):
@@ -46,6 +49,15 @@ def frequency_permutation(spark, sf_dir) -> list[int]:
     return vocabulary.inverse([r.byte for r in ordered])
 
 
+def permuted_tokenizer(spark, sf_dir) -> CorpusTokenizer:
+    """A tokenizer rebuilt from ranks whose single bytes are permuted."""
+    plain = tokenizer(spark, sf_dir)
+    moved = vocabulary.permute(F.array("id"), frequency_permutation(spark, sf_dir))[0]
+    ranks = plain.mergeable_ranks(spark)
+    ranks = ranks.select(F.when(F.col("id") < 256, moved).otherwise(F.col("id")).alias("id"), "bytes")
+    return CorpusTokenizer.from_ranks(ranks, CHAT_PATTERN, plain.specials)
+
+
 def d6_byte_permutation(spark, sf_dir):
     there = frequency_permutation(spark, sf_dir)
     back = vocabulary.inverse(there)
@@ -68,13 +80,14 @@ def d8_lookups(spark, sf_dir):
     size = one("vocab size", vocab.agg(F.count("*").alias("n")), F.col("n"))
     bos = one("bos id", vocab.where(F.col("token") == "<|bos|>"), F.col("id"))
     ids = vocab.where("is_special").select(special.alias("name"), F.col("id").cast("string").alias("value"))
-    tokens = vocab.where("is_special OR id BETWEEN 32 AND 126")
-    names = tokens.select(F.concat(F.lit("token "), "id").alias("name"), tok.id_to_token("id").alias("value"))
+    names = vocab.select(F.concat(F.lit("token "), "id").alias("name"), tok.id_to_token("id").alias("value"))
     return size.unionByName(bos).unionByName(ids).unionByName(names)
 
 
 def d9_token_bytes(spark, sf_dir):
-    return vocabulary.token_byte_lengths(tokenizer(spark, sf_dir).vocabulary(spark))
+    lengths = vocabulary.token_byte_lengths(tokenizer(spark, sf_dir).vocabulary(spark))
+    permuted = vocabulary.token_byte_lengths(permuted_tokenizer(spark, sf_dir).vocabulary(spark))
+    return lengths.join(permuted.select("id", F.col("n_bytes").alias("permuted_n_bytes")), "id")
 
 
 QUERIES: dict[str, Query] = {
@@ -100,7 +113,12 @@ perm AS MATERIALIZED (
   SELECT byte, row_number() OVER (ORDER BY coalesce(n, 0) DESC, byte) - 1 AS p
   FROM range(256) r(byte) LEFT JOIN (
     SELECT byte, sum(c) AS n FROM (SELECT c, unnest({O.id_list('s')}) AS byte FROM w0) GROUP BY byte) USING (byte)),
-plist AS MATERIALIZED (SELECT list(p ORDER BY byte) AS ps FROM perm)"""
+plist AS MATERIALIZED (SELECT list(p ORDER BY byte) AS ps FROM perm),
+told AS MATERIALIZED (SELECT DISTINCT chunk, s FROM w0),
+moved AS MATERIALIZED (
+  SELECT chunk, list(byte ORDER BY i) AS ids, list(p ORDER BY i) AS permuted
+  FROM (SELECT chunk, unnest(ids) AS byte, generate_subscripts(ids, 1) AS i FROM (SELECT chunk, {O.id_list('s')} AS ids FROM told))
+  JOIN perm USING (byte) GROUP BY chunk)"""
 
 ORACLES: dict[str, str] = {
     "d1_vocabulary": O.with_training(
@@ -110,7 +128,12 @@ FROM vocab v LEFT JOIN merges m ON m.rnk + 256 = v.id
 UNION ALL SELECT id, hex(encode(token)), NULL, NULL, true, token FROM specials""",
         more=O.VOCAB + O.SPECIALS,
     ),
-    "d2_mergeable_ranks": O.with_training("SELECT id, h AS bytes_hex FROM vocab", more=O.VOCAB),
+    "d2_mergeable_ranks": O.with_training(
+        """
+SELECT v.id, v.h AS bytes_hex, coalesce(b.h, v.h) AS permuted_hex
+FROM vocab v LEFT JOIN perm ON perm.p = v.id LEFT JOIN vocab b ON b.id = perm.byte""",
+        more=O.VOCAB + PERMUTATION,
+    ),
     "d3_special_ids": O.with_training("SELECT id, token FROM specials", more=O.SPECIALS),
     "d4_registered_specials": O.with_training(
         f"""
@@ -120,10 +143,8 @@ UNION ALL SELECT id, hex(encode(token)), token FROM (VALUES {_fixed}) t(id, toke
     ),
     "d5_recover_merges": O.with_training('SELECT rnk AS "rank", a, b, 256 + rnk AS new_id FROM merges'),
     "d6_byte_permutation": O.with_training(
-        f"""
-SELECT chunk, array_to_string(list_transform(i, lambda x: ps[x + 1]), ' ') AS permuted,
-       array_to_string(i, ' ') AS restored
-FROM (SELECT chunk, {O.id_list('s')} AS i FROM w0), plist""",
+        """
+SELECT chunk, array_to_string(permuted, ' ') AS permuted, array_to_string(ids, ' ') AS restored FROM moved""",
         merges=0,
         more=PERMUTATION,
     ),
@@ -136,13 +157,17 @@ SELECT 'vocab size' AS name, ((SELECT count(*) FROM vocab) + (SELECT count(*) FR
 UNION ALL SELECT 'bos id', id::VARCHAR FROM specials WHERE token = '<|bos|>'
 UNION ALL SELECT 'special ' || token, id::VARCHAR FROM specials
 UNION ALL SELECT 'token ' || id, token FROM specials
-UNION ALL SELECT 'token ' || id, decode(unhex(h)) FROM vocab WHERE id BETWEEN 32 AND 126""",
+UNION ALL SELECT 'token ' || id, decode(unhex("""
+        + O.lossy_hex("h")
+        + """)) FROM vocab""",
         more=O.VOCAB + O.SPECIALS,
     ),
     "d9_token_bytes": O.with_training(
         f"""
-SELECT id, length({O.lossy_hex("h")}) // 2 AS n_bytes, length(h) // 2 AS raw_bytes FROM vocab
-UNION ALL SELECT id, 0, octet_length(encode(token)) FROM specials""",
-        more=O.VOCAB + O.SPECIALS,
+, sized AS (SELECT id, length({O.lossy_hex("h")}) // 2 AS n, length(h) // 2 AS raw_bytes FROM vocab)
+SELECT v.id, v.n AS n_bytes, v.raw_bytes, coalesce(b.n, v.n) AS permuted_n_bytes
+FROM sized v LEFT JOIN perm ON perm.p = v.id LEFT JOIN sized b ON b.id = perm.byte
+UNION ALL SELECT id, 0, octet_length(encode(token)), 0 FROM specials""",
+        more=O.VOCAB + O.SPECIALS + PERMUTATION,
     ),
 }

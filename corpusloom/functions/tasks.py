@@ -8,32 +8,40 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Mapping
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 from pyspark import cloudpickle
 
-# A longer chunk is merged rule by rule, which costs the same whatever it holds.
-LONG_CHUNK = 512
-
 
 def merge_chunk(seq: str, rules: Mapping[str, str]) -> str:
-    """Apply the lowest-ranked rule present until none is.
+    """Apply the lowest-ranked rule present, at its first place, until none is.
 
-    ``rules`` maps two symbols to one and is in rank order; new symbols sort by rank.
+    ``rules`` maps two symbols to one and is in rank order; new symbols sort by
+    rank. Places are taken from a queue and neighbours are linked, so the work
+    grows with the length times its logarithm.
     """
-    if len(seq) > LONG_CHUNK:
-        for pair, new in rules.items():
-            seq = seq.replace(pair, new)
-        return seq
-    while True:
-        lowest = None
-        for i in range(len(seq) - 1):
-            new = rules.get(seq[i : i + 2])
-            if new is not None and (lowest is None or new < lowest):
-                lowest, pair = new, seq[i : i + 2]
-        if lowest is None:
-            return seq
-        seq = seq.replace(pair, lowest)
+    n = len(seq)
+    symbols: list[str] = list(seq)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    queue = [(new, i) for i in range(n - 1) if (new := rules.get(seq[i : i + 2])) is not None]
+    heapify(queue)
+    while queue:
+        new, i = heappop(queue)
+        j = after[i]
+        # Places whose symbols have changed meanwhile no longer make this symbol.
+        if j >= n or not symbols[i] or rules.get(symbols[i] + symbols[j]) != new:
+            continue
+        symbols[i], symbols[j] = new, ""
+        after[i] = right = after[j]
+        left = before[i]
+        if right < n:
+            before[right] = i
+            if (found := rules.get(new + symbols[right])) is not None:
+                heappush(queue, (found, i))
+        if left >= 0 and (found := rules.get(symbols[left] + new)) is not None:
+            heappush(queue, (found, left))
+    return "".join(symbols)
 
 
 def symbol_ids(seq: str, surrogates: int, gap: int) -> np.ndarray:

@@ -15,9 +15,6 @@ from corpusloom.functions.text import lossy_utf8
 from corpusloom.operators.pretokenize import allowed_specials, chunk_array, refuse_specials, split_specials
 from corpusloom.session import width
 
-# Up to this many merges, encoding is a fold of built-in string replacements;
-# each costs a pass over the text, so that more are slower than the Arrow path.
-FOLD_LIMIT = 12
 # Distinct chunks that a task remembers; beyond it the memory starts afresh.
 CACHE_SIZE = 1 << 18
 
@@ -63,12 +60,13 @@ def _byte_seq(chunk: Column, permutation: Sequence[int] | None) -> Column:
 
 
 def encode_sequences(
-    seqs: Column, merges: Sequence[S.Merge], fold_limit: int = FOLD_LIMIT, num_tokens: int | None = None
+    seqs: Column, merges: Sequence[S.Merge], fold_limit: int = 0, num_tokens: int | None = None
 ) -> Column:
     """Token ids of an array of byte sequences, one per chunk, in order.
 
-    No shuffle either way: few merges are folded over the joined sequences
-    inside the JVM, many are applied to the distinct chunks of a batch.
+    No shuffle: merges are applied to the distinct chunks of each batch. A
+    caller may have up to ``fold_limit`` merges folded over the joined
+    sequences inside the JVM instead, one pass over the text for each.
     """
     if len(merges) <= fold_limit:
         return S.ids(S.fold(F.array_join(seqs, S.BREAK), merges), num_tokens or 256 + len(merges))
@@ -80,7 +78,7 @@ def encode_text(
     merges: Sequence[S.Merge],
     pattern: str | None,
     permutation: Sequence[int] | None = None,
-    fold_limit: int = FOLD_LIMIT,
+    fold_limit: int = 0,
 ) -> Column:
     """Token ids of a text; special tokens are read as plain text."""
     seqs = F.transform(chunk_array(text, pattern), lambda c: _byte_seq(c, permutation))
@@ -94,7 +92,7 @@ def encode_with_specials(
     registered: Mapping[str, int],
     policy: str | Collection[str] = "none_raise",
     permutation: Sequence[int] | None = None,
-    fold_limit: int = FOLD_LIMIT,
+    fold_limit: int = 0,
 ) -> Column:
     """Token ids of a text, recognising the special tokens that ``policy`` allows."""
     allowed = allowed_specials(registered, policy)
@@ -130,7 +128,7 @@ def encode_chunk_table(
     merges: Sequence[S.Merge],
     chunk: str = "chunk",
     out: str = "ids",
-    fold_limit: int = FOLD_LIMIT,
+    fold_limit: int = 0,
 ) -> DataFrame:
     """Encode a table of distinct chunks, once each.
 

@@ -12,6 +12,8 @@ SOFTCAP = 15.0
 IGNORED_TARGET = -1
 SEED = 42
 VALIDATION_BATCHES = 20
+# The smallest step of a 32-bit float above 1.
+RMS_EPSILON = 2.0**-23
 
 
 def score_rows(vectors: DataFrame, row: str, vector: str) -> DataFrame:
@@ -33,13 +35,17 @@ def softcap(logit: Column, cap: float = SOFTCAP) -> Column:
 def cross_entropy(vectors: DataFrame, row: str, vector: str, target: str, ignore: int = IGNORED_TARGET) -> DataFrame:
     """``(row_id, loss)`` of rows whose target is not ignored.
 
-    A row carries its whole score vector, so no shuffle is needed.
+    A target that is null or no index of the scores fails the job. A row carries
+    its whole score vector, so no shuffle is needed.
     """
     logits = F.col(vector).cast("array<double>")
     total = lambda top: F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
     log_total = bind(F.array_max(logits), lambda top: F.log(total(top)) + top)
-    loss = log_total - F.get(logits, F.col(target))
-    return vectors.where(F.col(target) != ignore).select(F.col(row).alias("row_id"), loss.alias("loss"))
+    chosen = F.coalesce(F.col(target), F.lit(-1))
+    refused = F.raise_error(F.concat(F.lit("target out of range: "), F.coalesce(F.col(target).cast("string"), F.lit("null"))))
+    picked = F.when((chosen >= 0) & (chosen < F.size(logits)), F.get(logits, chosen)).otherwise(refused.cast("double"))
+    loss = log_total - picked
+    return vectors.where(~F.col(target).eqNullSafe(F.lit(ignore))).select(F.col(row).alias("row_id"), loss.alias("loss"))
 
 
 def reduce_loss(losses: DataFrame, how: str = "mean") -> DataFrame:
@@ -96,8 +102,8 @@ def draw(scores: DataFrame, temperature: float = 1.0, seed: int = SEED) -> DataF
     return greedy(noisy)
 
 
-def rms_norm(vector: Column, eps: float = 0.0) -> Column:
-    """Divide by the root of the mean square."""
+def rms_norm(vector: Column, eps: float = RMS_EPSILON) -> Column:
+    """Divide by the root of the mean square, to which ``eps`` is added; zeros stay zeros."""
     squares = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x * x)
     return bind(F.sqrt(squares / F.size(vector) + eps), lambda scale: F.transform(vector, lambda x: x / scale))
 

@@ -44,25 +44,36 @@ def expand(seq: Column, merges: Sequence[S.Merge]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth.values()))), seq, lambda s, _: step(s))
 
 
-def token_bytes_column(token: Column, merges: Sequence[S.Merge]) -> Column:
-    """The bytes of a base or merged token id."""
+def token_bytes_column(token: Column, merges: Sequence[S.Merge], permutation: Sequence[int] | None = None) -> Column:
+    """The bytes of a base or merged token id; with a permutation, base id ``permutation[b]`` stands for byte ``b``."""
     parents = [S.symbol(i) for i in range(256)] + [S.symbol(a) + S.symbol(b) for a, b, _ in merges]
-    return S.symbol_bytes(expand(S.lookup(parents, token, S.BREAK), merges))
+    seq = expand(S.lookup(parents, token, S.BREAK), merges)
+    if permutation is not None:
+        table = [S.symbol(b) for b in inverse(permutation)]
+        seq = F.array_join(F.transform(F.split(seq, ""), lambda c: S.lookup(table, S.char_id(c), S.BREAK)), "")
+    return S.symbol_bytes(seq)
 
 
-def mergeable_ranks(spark: SparkSession, merges: Sequence[TrainedMerge]) -> DataFrame:
+def mergeable_ranks(
+    spark: SparkSession, merges: Sequence[TrainedMerge], permutation: Sequence[int] | None = None
+) -> DataFrame:
     """``(id, bytes)`` of the 256 bytes and every merge."""
     rules = [(m.a, m.b, m.new_id) for m in merges]
     token = spark.range(256 + len(rules)).select(F.col("id").cast("int").alias("id"))
-    return token.select("id", token_bytes_column(F.col("id"), rules).alias("bytes"))
+    return token.select("id", token_bytes_column(F.col("id"), rules, permutation).alias("bytes"))
 
 
-def vocabulary(spark: SparkSession, merges: Sequence[TrainedMerge], specials: Mapping[str, int]) -> DataFrame:
+def vocabulary(
+    spark: SparkSession,
+    merges: Sequence[TrainedMerge],
+    specials: Mapping[str, int],
+    permutation: Sequence[int] | None = None,
+) -> DataFrame:
     """``(id, bytes, left, right, is_special, token)`` for every token."""
     parents = merges_frame(spark, list(merges)).select(
         F.col("new_id").alias("id"), F.col("a").alias("left"), F.col("b").alias("right")
     )
-    plain = mergeable_ranks(spark, merges).join(parents, "id", "left")
+    plain = mergeable_ranks(spark, merges, permutation).join(parents, "id", "left")
     plain = plain.select(
         "id", "bytes", "left", "right", F.lit(False).alias("is_special"), F.lit(None).cast("string").alias("token")
     )
@@ -102,10 +113,12 @@ def token_byte_lengths(vocab: DataFrame) -> DataFrame:
 
 
 def byte_permutation(ranks: DataFrame) -> list[int]:
-    """For each byte, the rank of its one-byte token."""
-    rows = ranks.where(F.octet_length("bytes") == 1).select("bytes", "id").limit(257).collect()
+    """For each byte, the rank of its one-byte token; a missing or repeated byte is refused."""
+    single = ranks.where(F.octet_length("bytes") == 1)
+    # One row per byte value, whatever the table holds.
+    rows = single.groupBy("bytes").agg(F.count("*").alias("n"), F.min("id").alias("id")).collect()
     table = {bytes(r["bytes"])[0]: r["id"] for r in rows}
-    if sorted(table) != list(range(256)):
+    if sorted(table) != list(range(256)) or any(r["n"] > 1 for r in rows):
         raise ValueError("the ranks must hold each single byte exactly once")
     return [table[b] for b in range(256)]
 

@@ -87,10 +87,10 @@ class CorpusTokenizer:
         return self.specials[name]
 
     def vocabulary(self, spark: SparkSession) -> DataFrame:
-        return vocabulary.vocabulary(spark, self.merges, self.specials)
+        return vocabulary.vocabulary(spark, self.merges, self.specials, self.permutation)
 
     def mergeable_ranks(self, spark: SparkSession) -> DataFrame:
-        return vocabulary.mergeable_ranks(spark, self.merges)
+        return vocabulary.mergeable_ranks(spark, self.merges, self.permutation)
 
     @cached_property
     def _token_hex(self) -> list[str]:
@@ -110,7 +110,7 @@ class CorpusTokenizer:
         prepend: int | str | None = None,
         append: int | str | None = None,
         allowed_special: str | Collection[str] = "none",
-        fold_limit: int = codec.FOLD_LIMIT,
+        fold_limit: int = 0,
     ) -> Column:
         """Token ids of a text column.
 

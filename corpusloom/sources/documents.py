@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +24,8 @@ def parquet_reader(spark: SparkSession, skip_unreadable: bool = False) -> DataFr
     return reader.option("ignoreCorruptFiles", str(skip_unreadable).lower())
 
 
-def shard_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the Parquet files of a folder, sorted; none if it does not exist.
+def shard_paths(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the Parquet files that lie directly in a folder, by name; none if it does not exist.
 
     This is the listing that the driver makes to plan a scan; no file is opened.
     """
@@ -33,7 +35,18 @@ def shard_names(spark: SparkSession, folder: str) -> list[str]:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    return sorted(unquote(file.rsplit("/", 1)[-1]) for file in files)
+    # A table's own folder may hold deeper ones; only the first level counts. A single file is its own folder.
+    level = min((file.count("/") for file in files), default=0)
+    return sorted((file for file in files if file.count("/") == level), key=shard_name)
+
+
+def shard_name(path: str) -> str:
+    return unquote(path.rsplit("/", 1)[-1])
+
+
+def shard_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the shards of a folder, in order."""
+    return [shard_name(path) for path in shard_paths(spark, folder)]
 
 
 def list_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,56 +54,105 @@ def list_shards(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(shard_names(spark, folder))), SHARDS_SCHEMA)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for CPU-heavy work on a scan of few files or row groups.
+def chosen_shards(paths: Sequence[str], which: str | None, start: int = 0) -> list[tuple[int, str]]:
+    """Numbered paths of a split (``train``, ``val``, or None for all) from shard ``start`` on."""
+    if which not in ("train", "val", None):
+        raise ValueError(f"split must be 'train' or 'val', not {which!r}")
+    last = len(paths) - 1
+    numbered = enumerate(paths)
+    return [(i, p) for i, p in numbered if i >= start and (which is None or (i == last) == (which == "val"))]
+
+
+def row_group_starts(spark: SparkSession, shards: Sequence[tuple[int, str]]) -> DataFrame:
+    """``(shard_idx, starts)``: the first row of each row group, from the footers of the files.
 
-    A scan that already has enough partitions, as any large one does, is not
-    shuffled. Not for the result of a join or aggregation: counting its
-    partitions would run it.
+    Footers are read by the tasks, one file at a time; a file that cannot be
+    read has no row. Paths must be of a store that Arrow can open.
     """
-    spark = df.sparkSession
-    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(width(spark), *keys)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import ArrowException, fs, parquet
+
+        for batch in batches:
+            rows = []
+            for shard, path in zip(batch["shard_idx"], batch["path"]):
+                store, inner = fs.FileSystem.from_uri(path)
+                try:
+                    footer = parquet.read_metadata(inner, filesystem=store)
+                except ArrowException:
+                    continue
+                sizes = [footer.row_group(i).num_rows for i in range(footer.num_row_groups)]
+                rows.append((shard, [sum(sizes[:i]) for i in range(len(sizes))]))
+            yield pd.DataFrame(rows, columns=["shard_idx", "starts"])
+
+    listing = spark.createDataFrame(list(shards), "shard_idx int, path string")
+    return listing.repartition(max(1, min(len(shards), width(spark)))).mapInPandas(read, "shard_idx int, starts array<long>")
 
 
 def scan_documents(
-    spark: SparkSession, folder: str, text: str = "text", skip_unreadable: bool = True, rows_per_group: int | None = None
+    spark: SparkSession,
+    folder: str,
+    text: str = "text",
+    skip_unreadable: bool = True,
+    rows_per_group: int | None = None,
+    row_groups: bool = False,
+    which: str | None = None,
+    start_shard: int = 0,
 ) -> DataFrame:
     """Documents of a folder of shards, in columns ``shard_idx, row_idx, doc_key, text``.
 
-    ``doc_key`` increases in reading order: by file name, then by row. With
-    ``rows_per_group`` the row group of each row is added as ``rg_idx``. Corrupt
-    files are skipped; a missing text column is an error.
+    ``doc_key`` increases in reading order: by file name, then by row. ``which``
+    and ``start_shard`` choose files from the listing: no other file is read.
+    ``row_groups`` adds the row group of each row as ``rg_idx``, from the
+    files' footers; ``rows_per_group`` adds one of a fixed size instead.
+    Corrupt files are skipped (:func:`unreadable_shards` names them); a missing
+    text column is an error.
     """
-    shards = list_shards(spark, folder)
-    if shards.isEmpty():
+    shards = chosen_shards(shard_paths(spark, folder), which, start_shard)
+    columns = ["shard_idx", "row_idx", "doc_key", text]
+    if not shards:
         docs = spark.createDataFrame([], f"file_name string, row_idx long, `{text}` string")
     else:
-        require_column(spark, folder, text)
-        scan = parquet_reader(spark, skip_unreadable).schema(f"`{text}` string").parquet(folder)
-        name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
-        docs = scan.select(name.alias("file_name"), row.alias("row_idx"), text)
-    # One row per file name: the listing is what the driver holds to plan the scan.
-    rows = docs.join(shards, "file_name").withColumn(
+        # Listed paths are escaped; the reader takes them plain.
+        paths = [unquote(path) for _, path in shards]
+        require_column(spark, paths, text)
+        scan = parquet_reader(spark, skip_unreadable).schema(f"`{text}` string").parquet(*paths)
+        docs = scan.select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row_idx"), text)
+    # The driver holds the listing to plan the scan, so every task can: texts are not shuffled to be numbered.
+    # All lie in one folder, so their names tell them apart; the files' own names are escaped like the listed ones.
+    listing = spark.createDataFrame([(i, path.rsplit("/", 1)[-1]) for i, path in shards], SHARDS_SCHEMA)
+    if row_groups and shards:
+        listing = listing.join(row_group_starts(spark, shards), "shard_idx")
+    rows = docs.join(F.broadcast(listing), "file_name").withColumn(
         "doc_key", F.col("shard_idx").cast("long") * ROWS_PER_SHARD_LIMIT + F.col("row_idx")
     )
-    columns = ["shard_idx", "row_idx", "doc_key", text]
-    if rows_per_group:
+    if row_groups:
+        before = F.filter("starts", lambda first: first <= F.col("row_idx")) if shards else F.array()
+        rows = rows.withColumn("rg_idx", F.size(before) - 1)
+    elif rows_per_group:
         rows = rows.withColumn("rg_idx", F.expr(f"cast(row_idx div {rows_per_group} AS int)"))
+    if row_groups or rows_per_group:
         columns.insert(1, "rg_idx")
     return rows.select(*columns)
 
 
-def require_column(spark: SparkSession, folder: str, text: str) -> None:
+def unreadable_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """``(shard_idx, file_name)`` of the files of a folder whose footer cannot be read."""
+    shards = chosen_shards(shard_paths(spark, folder), None)
+    if not shards:
+        return spark.createDataFrame([], SHARDS_SCHEMA)
+    return list_shards(spark, folder).join(row_group_starts(spark, shards), "shard_idx", "left_anti")
+
+
+def require_column(spark: SparkSession, paths: Sequence[str], text: str) -> None:
     """Fail clearly when the files have no column for the text."""
     try:
-        columns = parquet_reader(spark, True).parquet(folder).columns
+        columns = parquet_reader(spark, True).parquet(*paths).columns
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         # The file whose footer was tried is corrupt; the executors try them all.
-        columns = parquet_reader(spark, True).option("mergeSchema", "true").parquet(folder).columns
+        columns = parquet_reader(spark, True).option("mergeSchema", "true").parquet(*paths).columns
     if text not in columns:
         raise ValueError(f"documents have no column {text!r}: {columns}")
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import slug
 
-METRICS_SCHEMA = "run_id string, section string, ts timestamp, key string, value string"
+METRICS_SCHEMA = "run_id string, section string, ts timestamp, key string, value string, place int"
 
 
 def format_value(value: object) -> str:
@@ -18,11 +18,22 @@ def format_value(value: object) -> str:
 
 
 def log_metrics(
-    spark: SparkSession, path: str, run_id: str, section: str, data: Mapping[str, object], ts: datetime.datetime | None = None
+    spark: SparkSession,
+    path: str,
+    run_id: str,
+    section: str,
+    *data: Mapping[str, object] | str | None,
+    ts: datetime.datetime | None = None,
 ) -> None:
-    """Append one section of metrics to the table at ``path``."""
+    """Append one section to the table at ``path``: metrics and free text, in the order given.
+
+    A row without key holds text. Empty items are left out.
+    """
     ts = ts or datetime.datetime.now(datetime.timezone.utc)
-    rows = [(run_id, section, ts, key, format_value(value)) for key, value in data.items()]
+    items = [item for part in data if part for item in ([(None, part)] if isinstance(part, str) else part.items())]
+    rows = [
+        (run_id, section, ts, key, value if key is None else format_value(value), i) for i, (key, value) in enumerate(items)
+    ]
     spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -36,7 +47,29 @@ def latest_report(metrics: DataFrame) -> DataFrame:
 
 
 def report_lines(metrics: DataFrame) -> DataFrame:
-    """``(slug, line)`` of each metric of a report."""
-    return metrics.select(
-        slug(F.col("section")).alias("slug"), F.format_string("- %s: %s", "key", "value").alias("line")
-    )
+    """``(slug, line)`` of each item of a report."""
+    return metrics.select(slug(F.col("section")).alias("slug"), item_line().alias("line"))
+
+
+def item_line() -> Column:
+    return F.when(F.col("key").isNull(), F.col("value")).otherwise(F.format_string("- %s: %s", "key", "value"))
+
+
+def rendered_reports(metrics: DataFrame) -> DataFrame:
+    """``(slug, document)``: heading, time and items of the last report of each section, one document each.
+
+    Items are ordered by ``place``; a section's report is what one call logged.
+    """
+    # Metrics take a line each; text is kept as it is.
+    line = F.when(F.col("key").isNull(), item_line()).otherwise(F.concat(item_line(), F.lit("\n")))
+    items = F.sort_array(F.collect_list(F.struct("place", line.alias("line"))))
+    body = F.array_join(F.transform(items, lambda x: x["line"]), "")
+    head = F.concat(F.lit("## "), "section", F.lit("\ntimestamp: "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("\n\n"))
+    grouped = latest_report(metrics).groupBy("section", "ts").agg(body.alias("body"))
+    return grouped.select(slug(F.col("section")).alias("slug"), F.concat(head, "body", F.lit("\n")).alias("document"))
+
+
+def write_report(metrics: DataFrame, folder: str) -> None:
+    """One text file per section below ``folder/section=<slug>``."""
+    reports = rendered_reports(metrics).select(F.col("slug").alias("section"), F.col("document").alias("value"))
+    reports.repartition("section").write.mode("overwrite").partitionBy("section").option("lineSep", "").text(folder)

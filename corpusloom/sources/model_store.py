@@ -89,8 +89,10 @@ def load_text(spark: SparkSession, path: str) -> CorpusTokenizer:
 
 
 def parse_model(lines: DataFrame) -> CorpusTokenizer:
-    """A tokenizer from ``(line_no, line)`` rows; at most a vocabulary's worth of lines."""
-    rows = lines.limit(2 * S.MAX_TOKENS).collect()
+    """A tokenizer from ``(line_no, line)`` rows; more than a vocabulary's worth of lines is refused."""
+    rows = lines.limit(2 * S.MAX_TOKENS + 1).collect()
+    if len(rows) > 2 * S.MAX_TOKENS:
+        raise ValueError("more lines than a vocabulary can have")
     texts = [r["line"] for r in sorted(rows, key=lambda r: r["line_no"])]
     header = texts[0].split()
     if len(header) != 2 or header[1] != FORMAT_VERSION:
@@ -105,4 +107,6 @@ def parse_model(lines: DataFrame) -> CorpusTokenizer:
         if line.strip():
             a, b = map(int, line.split())
             merges.append(TrainedMerge(len(merges), a, b, 256 + len(merges), 0))
+    if len(merges) + 256 + len(specials) > S.MAX_TOKENS:
+        raise ValueError("more merges than a vocabulary can have")
     return CorpusTokenizer(tuple(merges), texts[1] or None, specials)

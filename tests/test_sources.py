@@ -53,6 +53,47 @@ def test_missing_text_column_is_an_error(spark, folder):
         D.scan_documents(spark, str(folder), text="body")
 
 
+def files_read(df):
+    return df.select(F.input_file_name()).distinct().count(), len(df.inputFiles())
+
+
+def test_only_chosen_files_are_read(spark, folder):
+    val = D.scan_documents(spark, str(folder), which="val")
+    assert files_read(val) == (1, 1) and {r.shard_idx for r in val.collect()} == {2}
+    train = D.scan_documents(spark, str(folder), which="train", start_shard=1)
+    assert files_read(train) == (1, 1) and [r.text for r in train.orderBy("doc_key").collect()] == [f"s1 d{i}" for i in range(5)]
+    with pytest.raises(ValueError):
+        D.scan_documents(spark, str(folder), which="test")
+
+
+def test_texts_are_not_shuffled_to_be_numbered(spark, folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = D.scan_documents(spark, str(folder), row_groups=True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("BroadcastExchange")[0]
+
+
+def test_folders_below_do_not_count(spark, folder):
+    for name in ("a", "b"):
+        (folder / f"lang={name}").mkdir()
+        pq.write_table(pa.table({"text": ["x"]}), folder / f"lang={name}" / "shard_00000.parquet")
+    assert D.scan_documents(spark, str(folder)).count() == 15
+
+
+def test_row_groups_of_any_size(spark, tmp_path):
+    schema = pa.schema([("text", pa.string())])
+    for name, sizes in (("a b", (3, 1, 4)), ("c", (2, 5))):
+        with pq.ParquetWriter(tmp_path / f"{name}.parquet", schema) as writer:
+            for size in sizes:
+                writer.write_table(pa.table({"text": [f"{name}{size}"] * size}, schema))
+    rows = D.scan_documents(spark, str(tmp_path), row_groups=True).orderBy("doc_key").collect()
+    assert [(r.shard_idx, r.rg_idx) for r in rows] == [(0, 0)] * 3 + [(0, 1)] + [(0, 2)] * 4 + [(1, 0)] * 2 + [(1, 1)] * 5
+    (tmp_path / "b.parquet").write_bytes(b"nothing")
+    assert [tuple(r) for r in D.unreadable_shards(spark, str(tmp_path)).collect()] == [(1, "b.parquet")]
+
+
 def test_split(spark, folder):
     docs = D.scan_documents(spark, str(folder))
     assert D.split(docs, "train").count() == 10 and D.split(docs, "val").count() == 5
@@ -113,21 +154,19 @@ def test_model_version_is_checked(spark, tmp_path):
 def test_metrics(spark):
     path = scratch_path(spark, "metrics")
     at = lambda minute: datetime.datetime(2024, 1, 1, 0, minute)
-    metrics.log_metrics(spark, path, "r", "Tokenizer Training", {"loss": 0.5, "size": 7}, at(1))
-    metrics.log_metrics(spark, path, "r", "Tokenizer Training", {"loss": 0.25}, at(2))
-    metrics.log_metrics(spark, path, "r", "Other", {"path": "x"}, at(1))
+    metrics.log_metrics(spark, path, "r", "Tokenizer Training", {"loss": 0.5, "size": 7}, ts=at(1))
+    metrics.log_metrics(spark, path, "r", "Tokenizer Training", {"loss": 0.25}, ts=at(2))
+    metrics.log_metrics(spark, path, "r", "Other", {"path": "x"}, ts=at(1))
     lines = metrics.report_lines(metrics.latest_report(spark.read.parquet(path))).collect()
     assert {tuple(r) for r in lines} == {("tokenizer-training", "- loss: 0.2500"), ("other", "- path: x")}
+    metrics.log_metrics(spark, path, "r", "Other", {"a": 1.5, "b": "c"}, None, "free text\n", {}, ts=at(3))
+    reports = dict(map(tuple, metrics.rendered_reports(spark.read.parquet(path)).collect()))
+    assert reports["other"] == "## Other\ntimestamp: 2024-01-01 00:03:00\n\n- a: 1.5000\n- b: c\nfree text\n\n"
+    out = scratch_path(spark, "report")
+    metrics.write_report(spark.read.parquet(path), out)
+    assert {r.section for r in spark.read.text(out).collect()} == {"tokenizer-training", "other"}
 
 
 def test_checkpoint_dir_is_kept(spark):
     assert checkpoint_dir(spark) == checkpoint_dir(spark)
     assert os.path.basename(os.path.dirname(scratch_path(spark, "x"))) == "tables"
-
-
-def test_spread(spark):
-    few = spark.range(10, numPartitions=1)
-    many = spark.range(10, numPartitions=50)
-    assert D.spread(few, "id").rdd.getNumPartitions() > 1
-    assert D.spread(many) is many
-    assert D.spread(few).agg(F.sum("id")).first()[0] == 45
