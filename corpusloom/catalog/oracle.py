@@ -110,7 +110,7 @@ SHARDS = (
 )
 
 
-def stream(keep: str = "true", world: int = WORLD, epochs: int = 1) -> str:
+def stream(keep: str = "true", world: int = WORLD, epochs: int = 1, order: str = "epoch, doc_id") -> str:
     """CTEs ``docs, toks``: BOS-prefixed documents, and every token with its place in the stream of its rank.
 
     ``keep`` may use ``epoch, shard_idx, rg_idx, rank, last_shard``.
@@ -125,7 +125,7 @@ docs AS MATERIALIZED (
   WHERE {keep}),
 toks AS MATERIALIZED (
   SELECT rank, shard_idx, rg_idx, tok,
-         row_number() OVER (PARTITION BY rank ORDER BY epoch, doc_id, k) - 1 AS place
+         row_number() OVER (PARTITION BY rank ORDER BY {order}, k) - 1 AS place
   FROM (SELECT rank, epoch, doc_id, shard_idx, rg_idx, unnest(ids) AS tok, generate_subscripts(ids, 1) AS k FROM docs))"""
 
 

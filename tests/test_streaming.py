@@ -31,17 +31,32 @@ def test_counting_goes_on_from_its_checkpoint(spark, corpus):
 
 
 def test_encoding_and_packing_carry_over(spark, corpus):
-    out, checkpoint, state, batches = (scratch_path(spark, name) for name in ("ids", "ckpt", "state", "batches"))
-    for stream in arrivals(spark, corpus, 0, 3, 4, 25):
+    out, state, batches = (scratch_path(spark, name) for name in ("ids", "state", "batches"))
+    checkpoint, second = scratch_path(spark, "ckpt"), scratch_path(spark, "ckpt")
+    for stream in arrivals(spark, corpus, 0, 0, 3, 4, 25):
         docs = virtual_shards(stream, "doc_id", 10, 3).withColumn("rank", rank_of(2))
         encoding.start_encoding(docs, TOK, out, checkpoint, prepend="<|bos|>").awaitTermination()
-        encoded = spark.read.parquet(out)
-        encoding.pack_new(spark, encoded, state, batches, 2, 40)
+        encoding.start_packing(docs, TOK, state, batches, second, 2, 40).awaitTermination()
+    encoded = spark.read.parquet(out)
     docs = virtual_shards(corpus.where("doc_id < 25"), "doc_id", 10, 3)
     striped = loader.encode_striped(docs, TOK, 2)
     assert sorted((r.doc_id, r.ids) for r in encoded.collect()) == sorted((r.doc_id, r.ids) for r in striped.collect())
     expected = loader.pack_encoded(striped, 2, 40, 2)
-    got = encoding.packed(spark, batches).select(expected.columns)
+    got = encoding.packed(spark, batches, state).select(expected.columns)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
-    version = encoding.pack_new(spark, encoded, state, batches, 2, 40)
-    assert version == 4 and encoding.packed(spark, batches).count() == expected.count()
+
+
+def test_late_keys_are_packed(spark):
+    """A later call may bring lower keys; an empty one changes nothing; one cut short does not count."""
+    state, out = scratch_path(spark, "state"), scratch_path(spark, "batches")
+    doc = lambda key, size: (key, 0, 0, 0, [key] * size)
+    frame = lambda *docs: spark.createDataFrame(docs, "doc_id long, rank int, shard_idx int, rg_idx int, ids array<int>")
+    assert encoding.pack_new(spark, frame(), state, out, 1, 4) == 1
+    assert encoding.pack_new(spark, frame(doc(5, 6)), state, out, 1, 4) == 2
+    assert encoding.pack_new(spark, frame(), state, out, 1, 4) == 3
+    # A version without its commit: as if the call had stopped halfway.
+    encoding.packing.batch_rows(spark.createDataFrame([(0, 9, [1] * 5, 0, 0)], "rank int, win long, tokens array<int>, shard_idx int, rg_idx int"), 1, 4).write.parquet(f"{out}/version=4")
+    assert encoding.packed(spark, out, state).count() == 1
+    assert encoding.pack_new(spark, frame(doc(3, 5)), state, out, 1, 4) == 4
+    rows = encoding.packed(spark, out, state).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.inputs, r.targets) for r in rows] == [(0, [5] * 4, [5] * 4), (1, [5, 3, 3, 3], [3, 3, 3, 3])]
