@@ -141,6 +141,15 @@ def item_blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int
         yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == block).distinct().sort("id", "text").collect()]
 
 
+def searched(text: Column | str, index: Items) -> Column:
+    """The leaks of one block of items."""
+
+    def search(texts: pa.Array) -> pa.Array:
+        return pa.array([index.leaks(t.as_py()) for t in texts], pa.list_(LEAK))
+
+    return F.arrow_udf(search, LEAK_TYPE)(text)
+
+
 def leaks(
     items: DataFrame,
     text: Column | str = "text",
@@ -151,14 +160,7 @@ def leaks(
     block_chars: int = BLOCK_CHARS,
 ) -> Column:
     """For a text: the items it holds, each with its distance and place (code points, end exclusive)."""
-    found = []
-    for block in item_blocks(items, item_id, item_text, block_chars):
-        index = Items(block, error_rate, min_chars)
-
-        def search(texts: pa.Array, index: Items = index) -> pa.Array:
-            return pa.array([index.leaks(t.as_py()) for t in texts], pa.list_(LEAK))
-
-        found.append(F.arrow_udf(search, LEAK_TYPE)(text))
+    found = [searched(text, Items(block, error_rate, min_chars)) for block in item_blocks(items, item_id, item_text, block_chars)]
     empty = F.array().cast(LEAK_TYPE)
     return F.concat(empty, *found) if found else empty
 
