@@ -1,9 +1,10 @@
 """Main text of web pages with a style tree per site.
 
-The element trees of all pages of a host are merged: a node stands for a path of tags with their class and id. For each
-node the tree keeps in which styles (sequences of children) and with which own texts it occurs. A node's importance is
-the entropy of its styles or of its texts, whichever is larger, relative to the number of occurrences: templates repeat
-the same few styles and texts, articles do not. A branch is noise if it and all below it have a low importance.
+The element trees of all pages of a host are merged: a node stands for a path of tags with their class and id. Headings,
+paragraphs, list items and inline elements belong to the container around them. For each node the tree keeps in which
+styles (sequences of children) and with which own texts it occurs. A node's importance is the entropy of its styles or of
+its texts, whichever is larger, relative to the number of occurrences: templates repeat the same few styles and texts,
+articles do not. A branch is noise if it and all below it have a low importance.
 
 A page's text comes from its articles, or else its main element, or else its body, without noise branches and without
 elements that are never main text by their tag or name (menus, headers, footers, sidebars, notices, adverts, forms,
@@ -42,6 +43,8 @@ NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"))
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+#: Elements that are no nodes of the style tree of their own, but parts of the text around them.
+PARTS = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd tr td th figcaption caption tbody thead tfoot".split())
 #: Start tags that end an open paragraph, and those that end an open element of their own kind.
 ENDS_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 ENDS_OWN = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -70,6 +73,13 @@ def number(*parts: object) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def container(node: Node) -> Node:
+    """The node that a part of running text belongs to: it is judged as a whole."""
+    while node.tag in PARTS and node.parent is not None:
+        node = node.parent
+    return node
+
+
 class Page:
     """A page as nodes and the pieces of text between tags, in order."""
 
@@ -106,7 +116,7 @@ class Page:
     def say(self, text: str) -> None:
         if text:
             self.pieces.append((self.stack[-1], text))
-            self.stack[-1].text.append(text)
+            container(self.stack[-1]).text.append(text)
 
     def child(self, parent: Node, tag: str, names: str) -> int:
         if len(self.stack) > DEEP:
@@ -128,7 +138,8 @@ class Page:
         never = parent.never or tag in NEVER_TAGS or bool(names and NEVER_NAMES.search(names))
         label = re.sub(r"\d+", "0", names)
         node = Node(tag, self.child(parent, tag, label), never, parent)
-        parent.styles.append(f"{tag}.{label}" if label else tag)
+        if tag not in INLINE:
+            container(parent).styles.append(f"{tag}.{label}" if label else tag)
         self.nodes.append(node)
         self.border(node)
         if tag not in VOID and not rest.endswith("/"):
@@ -163,11 +174,14 @@ class Page:
         """What the style tree counts: path, parent's path, kind (0 style, 1 text) and its number."""
         out = []
         for node in self.nodes[1:]:
+            if container(node) is not node:
+                continue
+            above = container(node.parent).path
             if node.styles:
-                out.append((node.path, node.parent.path, 0, hash_text("|".join(node.styles))))
+                out.append((node.path, above, 0, hash_text("|".join(node.styles))))
             text = " ".join(" ".join(node.text).split()) if node.text and node.tag not in RAW else ""
             if text:
-                out.append((node.path, node.parent.path, 1, hash_text(text)))
+                out.append((node.path, above, 1, hash_text(text)))
         return out
 
     def main_text(self, noise: frozenset[int]) -> str:
