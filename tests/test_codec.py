@@ -133,3 +133,23 @@ def test_deep_merge_chain(spark):
     merges = [TrainedMerge(0, 97, 97, 256, 0)] + [TrainedMerge(k, 255 + k, 97, 256 + k, 0) for k in range(1, 40)]
     rows = vocabulary.mergeable_ranks(spark, merges).orderBy("id").collect()
     assert [bytes(r.bytes) for r in rows[256:]] == [b"a" * (k + 2) for k in range(40)]
+
+
+def test_chunks_of_any_length_merge_in_rank_order():
+    import random
+
+    from corpusloom.functions.tasks import merge_chunk
+
+    pick = random.Random(3)
+    for _ in range(300):
+        rules, known = {}, list("abc")
+        for i in range(pick.randint(1, 12)):
+            pair = pick.choice(known) + pick.choice(known)
+            if pair not in rules:
+                rules[pair] = chr(0x100 + i)
+                known.append(rules[pair])
+        chunk = "".join(pick.choices("abc", k=pick.choice((0, 1, 2, 5, 40, 700))))
+        expected = chunk
+        for pair, new in rules.items():
+            expected = expected.replace(pair, new)
+        assert merge_chunk(chunk, rules) == expected

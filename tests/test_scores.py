@@ -74,3 +74,15 @@ def test_greedy_and_draw(spark, vectors, matrix):
     many = spark.range(4000).select(F.col("id").alias("row_id"), F.array(F.lit(0.0), F.log(F.lit(3.0))).alias("l"))
     share = S.draw(S.score_rows(many, "row_id", "l")).agg(F.avg("token_id")).first()[0]
     assert abs(share - 0.75) < 0.03
+
+
+@pytest.mark.parametrize("target", [12, -2, None])
+def test_targets_out_of_range_fail(spark, target):
+    rows = spark.createDataFrame([(0, [0.0] * 12, 3), (1, [0.0] * 12, target)], "row_id long, logits array<double>, target int")
+    with pytest.raises(Exception, match="target out of range"):
+        S.reduce_loss(S.cross_entropy(rows, "row_id", "logits", "target")).collect()
+
+
+def test_rms_norm_of_zeros(spark):
+    row = spark.sql("select array(0d, 0d, 0d) as v").select(S.rms_norm(F.col("v"))).first()
+    assert row[0] == [0.0, 0.0, 0.0]

@@ -170,3 +170,12 @@ def test_metrics(spark):
 def test_checkpoint_dir_is_kept(spark):
     assert checkpoint_dir(spark) == checkpoint_dir(spark)
     assert os.path.basename(os.path.dirname(scratch_path(spark, "x"))) == "tables"
+
+
+def test_oversized_models_are_refused(spark, monkeypatch):
+    lines = [(0, "bpe v1"), (1, ""), (2, "0"), *((3 + i, "97 98") for i in range(9))]
+    frame = spark.createDataFrame(lines, "line_no int, line string")
+    assert len(model_store.parse_model(frame).merges) == 9
+    monkeypatch.setattr(model_store.S, "MAX_TOKENS", 5)
+    with pytest.raises(ValueError, match="more lines"):
+        model_store.parse_model(frame)

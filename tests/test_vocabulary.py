@@ -87,3 +87,19 @@ def test_lookups(spark, merges):
     assert tok.vocab_size == 901 and tok.bos_id == 900 and tok.special_names == {"<|bos|>"}
     row = spark.range(1).select(tok.id_to_token(F.lit(97)), tok.id_to_token(F.lit(900)), slug(F.lit("Big Run"))).first()
     assert tuple(row) == ("a", "<|bos|>", "big-run")
+
+
+def test_repeated_bytes_are_refused(spark):
+    rows = [(i, bytes([i])) for i in range(256)] + [(256, b"a")]
+    with pytest.raises(ValueError, match="exactly once"):
+        V.byte_permutation(spark.createDataFrame(rows, "id int, bytes binary"))
+
+
+def test_permuted_ranks_come_back(spark):
+    order = list(range(256))
+    random.Random(1).shuffle(order)
+    rows = [(order[b], bytes([b])) for b in range(256)] + [(256, b"th"), (257, b"the")]
+    tok = CorpusTokenizer.from_ranks(spark.createDataFrame(rows, "id int, bytes binary"), specials={})
+    assert sorted((r.id, bytes(r.bytes)) for r in tok.mergeable_ranks(spark).collect()) == sorted(rows)
+    lines = {r.id: r.line for r in V.listing(tok.vocabulary(spark)).collect()}
+    assert lines[257] == "[th][e] -> [the] 257" and lines[order[ord("t")]] == f"[t] {order[ord('t')]}"
