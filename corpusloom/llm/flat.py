@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in slices of about so many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: White space between words: blank and \x09 to \x0D.
 IS_SPACE = np.zeros(256, bool)

@@ -27,8 +27,8 @@ from corpusloom.llm.flat import _BYTE_CODES, gram_hashes, leftmost_minima, mix,
 from corpusloom.llm.shingle_join import bucket_of, group_ids
 from corpusloom.session import materialize, width
 
-#: Anchors, and bytes of text, that a bucket holds on average at most.
-ANCHORS, TEXT = 4_000_000, 8 << 20
+#: Anchors that a bucket holds on average at most, and bytes of the corpus for each bucket of stretches.
+ANCHORS, TEXT = 4_000_000, 2 << 20
 
 PARTS = "kind int, doc long, version long, low long, high long, bucket long, keys binary, docs binary, versions binary, starts binary, sizes binary, content binary, flags binary"
 NAMES = [part.split()[0] for part in PARTS.split(", ")]
@@ -198,6 +198,18 @@ def later_copies(windows: Windows, content: np.ndarray, docs: np.ndarray, starts
 
 
 def spans(docs: np.ndarray, versions: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """Runs of units to remove; those of a text that touch are made one."""
+    if not len(docs):
+        return
+    order = np.lexsort((low, versions, docs))
+    docs, versions, low, high = docs[order], versions[order], low[order], high[order]
+    begin = np.zeros(len(docs), bool)
+    begin[firsts(docs, versions)] = True
+    shift = np.cumsum(begin) << 40
+    reach = np.maximum.accumulate(high + shift) - shift
+    begin[1:] |= low[1:] > reach[:-1]
+    first = np.flatnonzero(begin)
+    docs, versions, low, high = docs[first], versions[first], low[first], reach[np.append(first[1:], len(order)) - 1]
     for at in range(0, len(docs), 50_000):
         some = slice(at, at + 50_000)
         yield batch_of(len(docs[some]), kind=np.zeros(len(docs[some]), np.int32), doc=docs[some], version=versions[some], low=low[some], high=high[some], bucket=docs[some])
@@ -286,7 +298,7 @@ def without_repeats(docs: DataFrame, windows: Windows, classes: Callable, id_col
     units = total // 6 if windows.by_words else total
     buckets = max(4 * width(spark), 2 * units // (windows.size - windows.gram + 2) // ANCHORS + 1)
     asked = anchors(known, windows, buckets).groupBy("doc").agg(F.collect_list("keys").alias("known"))
-    sent = stretches(known.join(asked, "doc"), windows, buckets, max(8 * width(spark), total // TEXT + 1))
+    sent = stretches(known.join(asked, "doc"), windows, buckets, max(2 * width(spark), total // TEXT + 1))
     found = repeated(sent, windows, classes)
     runs = found.groupBy("doc", "version").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
 
