@@ -16,9 +16,8 @@ def components(links: DataFrame) -> DataFrame:
     a node with very many links is split by the skew handling of the join.
     """
     both = materialize(links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct(), "links")
-    labels = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")).select("id", F.least("id", "label").alias("label"))
+    labels = materialize(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("label")).select("id", F.least("id", "label").alias("label")), "labels")
     while True:
-        labels = materialize(labels, "labels")
         near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, F.col("id") == F.col("a")).select("id", "label", F.least("label", "near").alias("new"))
         ends = labels.select(F.col("id").alias("new"), F.col("label").alias("end"))

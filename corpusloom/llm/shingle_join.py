@@ -9,8 +9,9 @@ A part without elements says little. Similar sets agree in more parts than k lea
 a set in which as many parts are empty.
 
 Copies with the same set are represented by the smallest id. Members of a small group with a common signature are all
-compared; in a large group they are compared with a few members first, and the rest only where that left them in
-different components. So no link between different texts is lost, and a group of copies costs no square of its size.
+compared. In a large group they are compared with its most central member first, the one that shares most signatures with
+others, and among each other only where that left them in different components and where a sketch of the sets, whose
+bits bound the difference from below, allows for a link. So no link between different texts is lost.
 
 Null and empty texts have an empty set and no links. A row without id is returned without component. Rows that repeat an
 id are one document with several texts: all of them may link it.
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
@@ -33,8 +34,10 @@ WORDS, PERCENT = 5, 80
 SMALL = 8
 #: Signatures of a bucket: what one task holds at once.
 BUCKET = 4_000_000
-#: Members of a large group that the others are compared with, by turn.
-PIVOTS = (4, 16)
+#: Ids that may be sent to all tasks.
+SENT_IDS = 1_000_000
+#: Words of 64 bits in a sketch: bit i is the parity of the shingles that fall on it.
+SKETCH = 16
 
 
 def shingle_sets(data: np.ndarray, where: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,21 +104,30 @@ def documents_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame
     return docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"))
 
 
+def digests(keys: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
+    """A number for each set that does not depend on the order of its elements."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(keys ^ np.uint64(salt)))])
+    return mix(sums[ends[1:]] - sums[ends[:-1]] + np.diff(ends).astype(np.uint64))
+
+
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """Set size and a digest of the set for each row."""
+    """Size, digest and sketch of the set of each row."""
 
     def describe(batches):
         for batch in batches:
             for some, data, where in slices(batch, "text"):
                 keys, ends = shingle_sets(data, where, size)
-                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(keys ^ np.uint64(salt)))]) for salt in (1, 2)]
-                digests = [pa.array(mix(s[ends[1:]] - s[ends[:-1]]).view(np.int64)) for s in sums]
-                yield pa.record_batch([some.column("doc"), pa.array(np.diff(ends)), *digests], ["doc", "n_shingles", "digest1", "digest2"])
+                bits = np.zeros((some.num_rows, 64 * SKETCH), np.uint8)
+                np.add.at(bits, (np.repeat(np.arange(some.num_rows), np.diff(ends)), (mix(keys ^ np.uint64(3)) % np.uint64(64 * SKETCH)).astype(np.int64)), 1)
+                words64 = np.packbits(bits & 1, axis=1).view(np.int64).ravel()
+                sketch = pa.ListArray.from_arrays(pa.array(np.arange(some.num_rows + 1) * SKETCH, pa.int32()), pa.array(words64))
+                yield pa.record_batch([some.column("doc"), pa.array(np.diff(ends)), *(pa.array(digests(keys, ends, salt).view(np.int64)) for salt in (1, 2)), sketch], ["doc", "n_shingles", "digest1", "digest2", "sketch"])
 
-    return docs.mapInArrow(describe, "doc long, n_shingles long, digest1 long, digest2 long")
+    return docs.mapInArrow(describe, "doc long, n_shingles long, digest1 long, digest2 long, sketch array<long>")
 
 
-KINDS = "kind int, bucket long, a long, b long, signatures binary, docs binary, hot binary"
+KINDS = "kind int, bucket long, signatures binary, docs binary, hot binary"
+NAMES = ["kind", "bucket", "signatures", "docs", "hot"]
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -131,8 +143,8 @@ def group_ids(keys: np.ndarray, bucket: np.ndarray | int) -> np.ndarray:
 def packed(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
     """Signatures by bucket, many to a row.
 
-    Where more than ``SMALL`` texts of a slice share a signature, only the first goes to the bucket, marked as one of
-    many; the others are linked to it as candidates (kind 0) and listed as members of the group (kind 1).
+    Where more than ``SMALL`` texts of a slice share a signature, all are listed as members of a large group (kind 1),
+    and only the first goes to the bucket, marked as one of many.
     """
 
     def pack(batches):
@@ -140,7 +152,14 @@ def packed(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
         for batch in batches:
             for some, data, where in slices(batch, "text"):
                 ids = some.column("doc").to_numpy(zero_copy_only=False)
-                keys, rows = bands.signatures(*shingle_sets(data, where, size))
+                # Copies with the same set are known by their digests; the first of a slice speaks for all.
+                shingles, ends = shingle_sets(data, where, size)
+                digest = digests(shingles, ends, 1)
+                order = np.lexsort((ids, digest))
+                single = np.zeros(len(ids), bool)
+                single[order[np.unique(digest[order], return_index=True)[1]]] = True
+                sizes = np.diff(ends)
+                keys, rows = bands.signatures(shingles[np.repeat(single, sizes)], np.concatenate([[0], np.cumsum(np.where(single, sizes, 0))]))
                 order = np.lexsort((ids[rows], keys))
                 keys, owner = keys[order], ids[rows[order]]
                 begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
@@ -148,9 +167,9 @@ def packed(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
                 many = count > SMALL
                 if many.any():
                     members = ranges(begins[many], count[many])
-                    first = np.repeat(owner[begins[many]], count[many])
-                    yield from rows_of(0, np.unique(np.stack([first, owner[members]], axis=1), axis=0))
-                    yield from rows_of(1, np.stack([group_ids(keys[members], bucket_of(keys[members], buckets)), owner[members]], axis=1))
+                    groups = group_ids(keys[members], bucket_of(keys[members], buckets))
+                    listed = [pa.array([1], pa.int32()), pa.array(owner[members[:1]]), pa.array([groups.tobytes()]), pa.array([owner[members].tobytes()]), pa.array([None], pa.binary())]
+                    yield pa.record_batch(listed, NAMES)
                 hot = np.zeros(len(keys), bool)
                 hot[begins[many]] = True
                 kept = hot | ~np.repeat(many, count)
@@ -164,21 +183,13 @@ def packed(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
                 parts = [(keys[a:b].tobytes(), np.diff(owner[a:b], prepend=0).tobytes(), np.packbits(hot[a:b]).tobytes()) for a, b in zip(begins, cuts, strict=False)]
                 n = len(names)
                 yield pa.record_batch(
-                    [pa.array(np.full(n, 2, np.int32)), pa.array(names.astype(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())] + [pa.array([p[j] for p in parts], pa.binary()) for j in range(3)],
-                    ["kind", "bucket", "a", "b", "signatures", "docs", "hot"],
+                    [pa.array(np.full(n, 2, np.int32)), pa.array(names.astype(np.int64))] + [pa.array([p[j] for p in parts], pa.binary()) for j in range(3)],
+                    NAMES,
                 )
 
     return docs.where("doc is not null").mapInArrow(pack, KINDS)
 
 
-def rows_of(kind: int, pairs: np.ndarray):
-    n = len(pairs)
-    if n:
-        # Spread over the buckets' tasks by the second value.
-        columns = [pa.array(np.full(n, kind, np.int32)), pa.array(np.abs(pairs[:, 1])), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
-        yield pa.record_batch(columns + [pa.nulls(n, pa.binary())] * 3, ["kind", "bucket", "a", "b", "signatures", "docs", "hot"])
-
-
 def grouped(rows: DataFrame) -> DataFrame:
     """Candidate pairs (kind 0) and members of large groups (kind 1) from the buckets."""
 
@@ -186,9 +197,8 @@ def grouped(rows: DataFrame) -> DataFrame:
         blobs: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
         for batch in batches:
             kind = batch.column("kind").to_numpy()
-            plain = batch.filter(pa.array(kind != 2))
-            if plain.num_rows:
-                yield plain.select(["kind", "a", "b"])
+            for row in batch.filter(pa.array(kind == 1)).to_pylist():
+                yield from two(1, np.stack([np.frombuffer(row["signatures"], np.int64), np.frombuffer(row["docs"], np.int64)], axis=1))
             for row in batch.filter(pa.array(kind == 2)).to_pylist():
                 blobs.setdefault(row["bucket"], []).append((row["signatures"], row["docs"], row["hot"]))
         for bucket in list(blobs):
@@ -207,9 +217,6 @@ def grouped(rows: DataFrame) -> DataFrame:
                 wide = ~large & (count > distance)
                 first = ranges(begins[wide], count[wide] - distance)
                 found.append(np.stack([docs[first], docs[first + distance]], axis=1))
-            several = large & (count > 1)
-            members = ranges(begins[several], count[several])
-            found.append(np.stack([np.repeat(docs[begins[several]], count[several]), docs[members]], axis=1))
             pairs = np.unique(np.concatenate(found), axis=0)
             yield from two(0, pairs[pairs[:, 0] != pairs[:, 1]])
             members = ranges(begins[large], count[large])
@@ -247,76 +254,95 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return here.join(there, "home").where(similar).select(F.col("home").alias("a"), F.col("doc").alias("b")).distinct()
 
 
-def comparable(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow for the similarity, each once."""
-    mine, other = sizes.select("doc", F.col("n").alias("n1")), sizes.select(F.col("doc").alias("home"), F.col("n").alias("n2"))
-    fits = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
-    return pairs.where("home != doc").join(mine, "doc").join(other, "home").where(fits).select("home", "doc").distinct()
+def may_link(n1: str, n2: str, words: list[tuple[Column, Column]], percent: int) -> Column:
+    """Whether sizes and sketches allow for the similarity: bits that differ are elements that differ."""
+    differ = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in words), F.lit(0))
+    sizes = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
+    return sizes & ((100 + percent) * differ <= (100 - percent) * (F.col(n1) + F.col(n2)))
+
+
+def comparable(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and sketches allow for the similarity, each once."""
+    mine = sketches.select("doc", F.col("n").alias("n1"), F.col("sketch").alias("s1"))
+    other = sketches.select(F.col("doc").alias("home"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
+    words = [(F.element_at("s1", i + 1), F.element_at("s2", i + 1)) for i in range(SKETCH)]
+    met = pairs.where("home != doc").join(mine, "doc").join(other, "home")
+    return met.where(may_link("n1", "n2", words, percent)).select("home", "doc").distinct()
 
 
-def unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
+def central_pairs(members: DataFrame) -> DataFrame:
+    """Each member of a large group with the most central one: the one whose groups have most members in all."""
+    sizes = members.groupBy("grp").agg(F.count("doc").alias("size"))
+    central = members.join(sizes, "grp").groupBy("doc").agg(F.sum("size").alias("rank"))
+    ranked = members.join(central, "doc")
+    homes = ranked.groupBy("grp").agg(F.max(F.struct(F.col("rank"), (-F.col("doc")).alias("last"))).alias("best")).select("grp", (-F.col("best.last")).alias("home"))
+    return members.join(homes, "grp").select("home", "doc").where("home != doc").distinct()
+
+
+def unsettled(members: DataFrame, known: DataFrame) -> DataFrame:
     """Members of groups that are not yet in one component: grp, doc, component."""
-    known = components(links)
     labelled = members.join(known, members.doc == known.id, "left").select("grp", "doc", F.coalesce("component", "doc").alias("component"))
     labelled = materialize(labelled, "members")
     open_groups = labelled.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("grp")
-    return materialize(labelled.join(open_groups, "grp"), "unsettled")
+    return labelled.join(open_groups, "grp")
 
 
-def crossing(members: DataFrame, pivots: int | None) -> DataFrame:
-    """Pairs of members from different components: with a few members of each group, or all that are left."""
-    if pivots is None:
-        homes = members.select("grp", F.col("doc").alias("home"), F.col("component").alias("there"))
-        return members.join(homes, "grp").where("component < there").select("home", "doc").distinct()
-    picks = [F.min(F.struct(F.xxhash64("doc", F.lit(turn)).alias("hash"), F.col("doc").alias("home"), F.col("component").alias("there"))) for turn in range(pivots)]
-    homes = members.groupBy("grp").agg(F.array_distinct(F.array(*picks)).alias("picks")).select("grp", F.explode("picks").alias("pick")).select("grp", "pick.home", "pick.there")
-    return members.join(homes, "grp").where("component != there").select("home", "doc").distinct()
+def crossing_pairs(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members from different components whose sets may be similar, by size and sketch."""
+    words = [f"s{i}" for i in range(SKETCH)]
+    mine = members.join(sketches, "doc").select("grp", "doc", "component", "n", *(F.element_at("sketch", i + 1).alias(w) for i, w in enumerate(words)))
+    mine = materialize(mine, "unsettled")
+    other = mine.select("grp", *(F.col(c).alias(f"{c}_2") for c in ("doc", "component", "n", *words)))
+    similar = may_link("n", "n_2", [(F.col(w), F.col(f"{w}_2")) for w in words], percent)
+    pairs = mine.join(other, (mine.grp == other.grp) & (F.col("component") < F.col("component_2")) & similar)
+    return pairs.select(F.col("doc_2").alias("home"), "doc").distinct()
 
 
-def similar_links(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Set sizes by row (doc, n_shingles), and links (a, b) that connect all similar documents.
+def sets_of(pairs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """The shingle sets of the documents of some pairs."""
+    needed = materialize(pairs.select("doc").union(pairs.select("home")).distinct(), "needed")
+    # So many ids are few bytes for every task; beyond that the join shuffles the texts.
+    few = F.broadcast(needed) if needed.count() <= SENT_IDS else needed
+    return materialize(set_table(rows.join(few, "doc", "left_semi"), size), "shingles")
 
-    Links between copies with the same set run to the smallest id; of larger groups, only as many links are given as
-    keep their members connected.
-    """
+
+def linked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Set sizes by row (doc, n_shingles), and the component of each document that has a link (id, component)."""
     spark = docs.sparkSession
     rows = documents_of(docs, id_column, text_column)
     info = materialize(described(rows, size), "sets")
     filled = info.where("n_shingles > 0 and doc is not null")
     same = ["n_shingles", "digest1", "digest2"]
     firsts = filled.groupBy(same).agg(F.min("doc").alias("rep"))
-    reps = materialize(filled.join(firsts, same).select("doc", "rep", F.col("n_shingles").alias("n")).distinct(), "representatives")
+    reps = materialize(filled.join(firsts, same).select("doc", "rep", F.col("n_shingles").alias("n"), "sketch").distinct(), "representatives")
     total = reps.agg(F.sum("n")).first()[0] or 0
     buckets = max(4 * width(spark), total // BUCKET + 1)
     found = materialize(grouped(packed(rows, size, percent, buckets)), "candidates")
     mine, other = reps.select(F.col("doc").alias("b"), F.col("rep").alias("doc")), reps.select(F.col("doc").alias("a"), F.col("rep").alias("home"))
     pairs = found.where("kind = 0").join(mine, "b").join(other, "a").select("home", "doc").distinct()
-    sizes = reps.where("doc = rep").select("doc", "n")
-    pairs = materialize(comparable(pairs, sizes, percent), "pairs")
+    sketches = reps.where("doc = rep").select("doc", "n", "sketch")
     members = materialize(found.where("kind = 1").select(F.col("a").alias("grp"), F.col("b")).join(mine, "b").select("grp", "doc").distinct(), "members")
-    needed = pairs.select("doc").union(pairs.select("home")).union(members.select("doc")).distinct()
-    sets = materialize(set_table(rows.join(needed, "doc", "left_semi"), size), "shingles")
-    links = materialize(verified(pairs, sets, percent), "links")
-    for pivots in (*PIVOTS, None):
-        left = unsettled(members, links)
-        if left.isEmpty():
-            break
-        tested = materialize(comparable(crossing(left, pivots), sizes, percent), "pairs")
-        links = materialize(links.union(verified(tested, sets, percent)), "links")
+    pairs = materialize(comparable(pairs.union(central_pairs(members)), sketches, percent), "pairs")
     copies = reps.where("doc != rep").select(F.col("rep").alias("a"), F.col("doc").alias("b"))
-    return info.select("doc", "n_shingles"), links.union(copies)
+    links = materialize(verified(pairs, sets_of(pairs, rows, size), percent).union(copies), "links")
+    known = components(links)
+    more = materialize(crossing_pairs(unsettled(members, known), sketches, percent).exceptAll(pairs), "pairs")
+    # Most of these pairs fail as well; the components change only if one does not.
+    found = materialize(verified(more, sets_of(more, rows, size), percent), "links") if not more.isEmpty() else None
+    if found is not None and not found.isEmpty():
+        known = components(links.union(found))
+    return info.select("doc", "n_shingles"), known
 
 
 def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """For each row: id, n_shingles, and component_id, the smallest id that links lead to."""
-    info, links = similar_links(docs, id_column, text_column, size, percent)
-    found = components(links)
+    info, found = linked(docs, id_column, text_column, size, percent)
     joined = info.join(found, info.doc == found.id, "left")
     return joined.select(F.col("doc").alias(id_column), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents with the smallest id of their component, with all their columns, and those without id."""
-    _, links = similar_links(docs, id_column, text_column, size, percent)
-    found = components(links).where("id != component").select(F.col("id").alias("_copy"))
+    _, found = linked(docs, id_column, text_column, size, percent)
+    found = found.where("id != component").select(F.col("id").alias("_copy"))
     return docs.join(found, docs[id_column].cast("long") == found["_copy"], "left_anti")
