@@ -36,8 +36,8 @@ SMALL = 8
 BUCKET = 4_000_000
 #: Ids that may be sent to all tasks.
 SENT_IDS = 1_000_000
-#: Words of 64 bits in a sketch: bit i is the parity of the shingles that fall on it.
-SKETCH = 16
+#: Words of 64 bits in a sketch, whose bit i is the parity of the shingles that fall on it; the wide one folds into the other.
+SKETCH, WIDE = 16, 64
 
 
 def shingle_sets(data: np.ndarray, where: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,13 +117,14 @@ def described(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             for some, data, where in slices(batch, "text"):
                 keys, ends = shingle_sets(data, where, size)
-                bits = np.zeros((some.num_rows, 64 * SKETCH), np.uint8)
-                np.add.at(bits, (np.repeat(np.arange(some.num_rows), np.diff(ends)), (mix(keys ^ np.uint64(3)) % np.uint64(64 * SKETCH)).astype(np.int64)), 1)
-                words64 = np.packbits(bits & 1, axis=1).view(np.int64).ravel()
-                sketch = pa.ListArray.from_arrays(pa.array(np.arange(some.num_rows + 1) * SKETCH, pa.int32()), pa.array(words64))
-                yield pa.record_batch([some.column("doc"), pa.array(np.diff(ends)), *(pa.array(digests(keys, ends, salt).view(np.int64)) for salt in (1, 2)), sketch], ["doc", "n_shingles", "digest1", "digest2", "sketch"])
+                bits = np.zeros((some.num_rows, 64 * WIDE), np.uint8)
+                np.add.at(bits, (np.repeat(np.arange(some.num_rows), np.diff(ends)), (mix(keys ^ np.uint64(3)) % np.uint64(64 * WIDE)).astype(np.int64)), 1)
+                wide = np.packbits(bits & 1, axis=1).view(np.int64)
+                folded = np.bitwise_xor.reduce(wide.reshape(some.num_rows, WIDE // SKETCH, SKETCH), axis=1)
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(some.num_rows + 1) * size, pa.int32()), pa.array(words.ravel())) for size, words in ((SKETCH, folded), (WIDE, wide))]
+                yield pa.record_batch([some.column("doc"), pa.array(np.diff(ends)), *(pa.array(digests(keys, ends, salt).view(np.int64)) for salt in (1, 2)), *lists], ["doc", "n_shingles", "digest1", "digest2", "sketch", "wide"])
 
-    return docs.mapInArrow(describe, "doc long, n_shingles long, digest1 long, digest2 long, sketch array<long>")
+    return docs.mapInArrow(describe, "doc long, n_shingles long, digest1 long, digest2 long, sketch array<long>, wide array<long>")
 
 
 KINDS = "kind int, bucket long, signatures binary, docs binary, hot binary"
@@ -263,9 +264,9 @@ def may_link(n1: str, n2: str, words: list[tuple[Column, Column]], percent: int)
 
 def comparable(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and sketches allow for the similarity, each once."""
-    mine = sketches.select("doc", F.col("n").alias("n1"), F.col("sketch").alias("s1"))
-    other = sketches.select(F.col("doc").alias("home"), F.col("n").alias("n2"), F.col("sketch").alias("s2"))
-    words = [(F.element_at("s1", i + 1), F.element_at("s2", i + 1)) for i in range(SKETCH)]
+    mine = sketches.select("doc", F.col("n").alias("n1"), F.col("wide").alias("s1"))
+    other = sketches.select(F.col("doc").alias("home"), F.col("n").alias("n2"), F.col("wide").alias("s2"))
+    words = [(F.element_at("s1", i + 1), F.element_at("s2", i + 1)) for i in range(WIDE)]
     met = pairs.where("home != doc").join(mine, "doc").join(other, "home")
     return met.where(may_link("n1", "n2", words, percent)).select("home", "doc").distinct()
 
@@ -314,19 +315,20 @@ def linked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     filled = info.where("n_shingles > 0 and doc is not null")
     same = ["n_shingles", "digest1", "digest2"]
     firsts = filled.groupBy(same).agg(F.min("doc").alias("rep"))
-    reps = materialize(filled.join(firsts, same).select("doc", "rep", F.col("n_shingles").alias("n"), "sketch").distinct(), "representatives")
+    reps = materialize(filled.join(firsts, same).select("doc", "rep", F.col("n_shingles").alias("n"), "sketch", "wide").distinct(), "representatives")
     total = reps.agg(F.sum("n")).first()[0] or 0
     buckets = max(4 * width(spark), total // BUCKET + 1)
     found = materialize(grouped(packed(rows, size, percent, buckets)), "candidates")
     mine, other = reps.select(F.col("doc").alias("b"), F.col("rep").alias("doc")), reps.select(F.col("doc").alias("a"), F.col("rep").alias("home"))
     pairs = found.where("kind = 0").join(mine, "b").join(other, "a").select("home", "doc").distinct()
-    sketches = reps.where("doc = rep").select("doc", "n", "sketch")
+    sketches = reps.where("doc = rep").select("doc", "n", "sketch", "wide")
     members = materialize(found.where("kind = 1").select(F.col("a").alias("grp"), F.col("b")).join(mine, "b").select("grp", "doc").distinct(), "members")
     pairs = materialize(comparable(pairs.union(central_pairs(members)), sketches, percent), "pairs")
     copies = reps.where("doc != rep").select(F.col("rep").alias("a"), F.col("doc").alias("b"))
     links = materialize(verified(pairs, sets_of(pairs, rows, size), percent).union(copies), "links")
     known = components(links)
-    more = materialize(crossing_pairs(unsettled(members, known), sketches, percent).exceptAll(pairs), "pairs")
+    crossing = crossing_pairs(unsettled(members, known), sketches, percent)
+    more = materialize(comparable(crossing, sketches, percent).exceptAll(pairs), "pairs")
     # Most of these pairs fail as well; the components change only if one does not.
     found = materialize(verified(more, sets_of(more, rows, size), percent), "links") if not more.isEmpty() else None
     if found is not None and not found.isEmpty():
