@@ -71,6 +71,7 @@ def main() -> None:
     timed("e9_token_counts", lambda: codec.token_counts(codec.encode_chunk_table(chunks, tok.rules)))
     split = sharded(spark, sf_dir)
     timed("f9_loader", lambda: loader.pack_corpus(split, few, ROWS, COLS, world=2, last_shard=last_shard(split)))
+    timed("f7_epochs", lambda: loader.pack_corpus(split, few, ROWS, COLS, world=2, epochs=2, last_shard=last_shard(split)))
     logits = vectors(spark, sf_dir)
     timed("g2_cross_entropy", lambda: scores.cross_entropy(logits, "row_id", "logits", "target"))
     timed("g4_softmax", lambda: logits.select(scores.softmax(F.col("logits"))))
