@@ -103,7 +103,7 @@ def shouting(data: np.ndarray, where: np.ndarray) -> np.ndarray:
     return out
 
 
-def label_model(votes: np.ndarray, share: float, start: np.ndarray, turns: int = 40) -> np.ndarray:
+def label_model(votes: np.ndarray, share: float, start: np.ndarray, turns: int = 4) -> np.ndarray:
     """Posterior probability of class 1 for rows of votes -1, 0 and 1, given the share of class 1 and a first guess."""
     hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
     said = (votes == 1).astype(float)
@@ -118,9 +118,9 @@ def label_model(votes: np.ndarray, share: float, start: np.ndarray, turns: int =
             rest = (said - rates[:, 2]) * np.sqrt(mass)[:, None]
             spread = np.sqrt((rest**2).sum(axis=0)) + 1e-9
             dependence = np.maximum(dependence, rest.T @ rest / spread[:, None] / spread)
-        if turn == 3:
-            # A group of voters that say the same, given the class, counts as one. The estimate is made once: as weights
-            # shrink the classes blur, and all voters would seem to depend on each other.
+        if turn == turns - 1:
+            # A group of voters that say the same, given the class, counts as one. That is settled in the last turn:
+            # going on with such weights, the classes would blur and all voters would seem to depend on each other.
             np.fill_diagonal(dependence, 1)
             weights = 1 / np.maximum(dependence, 0).sum(axis=1)
         posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
