@@ -4,9 +4,13 @@ An item of m code points may differ by ``int(m * error_rate)`` edits from a pass
 into one piece more than that, so at least one piece stands unchanged in any such passage. All pieces are found
 in one pass over a text, and the surroundings of each hit are verified with the bit-parallel distance of Myers.
 
-Null and empty texts hold nothing, null and empty items are found nowhere. An item shorter than ``MIN_CHARS``
-says too little to be searched for inside a text: it counts where it is the whole text. Letter case and white
-space count. Repeated rows are searched one by one; equal items are each reported under their own id.
+Items and texts are compared as they stand and folded: without letter case, and with each run of white space as one
+blank (none at the ends). The smaller of the two distances counts, so a passage in capitals or wrapped anew costs no edit;
+places always refer to the text as it stands.
+
+Null and empty texts hold nothing; null items, empty ones and those of white space are found nowhere. An item shorter
+than ``MIN_CHARS`` says too little to be searched for inside a text: it counts where it is the whole text, folded.
+Repeated rows are searched one by one; equal items are each reported under their own id.
 """
 
 from __future__ import annotations
@@ -64,21 +68,35 @@ class Pattern:
             yield score
 
 
-class Items:
-    """The pieces of a block of items, ready to be searched for in texts."""
+def folded(text: str) -> str:
+    """The text without letter case and with single blanks."""
+    return " ".join(text.casefold().split())
 
-    def __init__(self, rows: list[tuple[int, str]], error_rate: float, min_chars: int):
-        self.rows, self.error_rate, self.min_chars = rows, error_rate, min_chars
-        self.automaton = None
 
-    def build(self) -> None:
-        self.automaton, found = ahocorasick.Automaton(), defaultdict(list)
-        self.whole, self.patterns = defaultdict(list), {}
-        for i, (_, text) in enumerate(self.rows):
-            if len(text) < self.min_chars:
-                self.whole[text.strip()].append(i)
-                continue
-            for offset, piece in pieces(text, int(len(text) * self.error_rate) + 1):
+def origins(text: str) -> list[int]:
+    """Where each code point of the folded text stands in the text."""
+    out: list[int] = []
+    blank = -1
+    for i, c in enumerate(text):
+        if c.isspace():
+            blank = i if blank < 0 else blank
+            continue
+        if blank >= 0 and out:
+            out.append(blank)
+        blank = -1
+        out += [i] * len(c.casefold())
+    return out
+
+
+class Index:
+    """The pieces of items in one form, as they stand or folded."""
+
+    def __init__(self, items: dict[int, str], error_rate: float):
+        self.items, self.error_rate = items, error_rate
+        self.automaton, self.patterns = ahocorasick.Automaton(), {}
+        found = defaultdict(list)
+        for i, text in items.items():
+            for offset, piece in pieces(text, int(len(text) * error_rate) + 1):
                 found[piece].append((i, offset))
         for piece, places in found.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -86,7 +104,7 @@ class Items:
 
     def pattern(self, i: int) -> tuple[Pattern, Pattern]:
         if i not in self.patterns:
-            text = self.rows[i][1]
+            text = self.items[i]
             self.patterns[i] = Pattern(text), Pattern(text[::-1])
         return self.patterns[i]
 
@@ -99,7 +117,7 @@ class Items:
                     spots[i].add(last + 1 - size - offset)
         merged = {}
         for i, begins in spots.items():
-            size = len(self.rows[i][1])
+            size = len(self.items[i])
             slack = int(size * self.error_rate)
             stretches: list[list[int]] = []
             for begin in sorted(begins):
@@ -111,13 +129,9 @@ class Items:
             merged[i] = stretches
         return merged
 
-    def leaks(self, text: str | None) -> list[dict]:
-        """The best passage for each item that the text holds, the first one among equals."""
-        if not text:
-            return []
-        if self.automaton is None:
-            self.build()
-        out = [{"item_id": self.rows[i][0], "distance": 0, "begin": 0, "end": len(text)} for i in self.whole.get(text.strip(), ())]
+    def best(self, text: str) -> dict[int, tuple[int, int, int]]:
+        """Distance, begin and end of the best passage for each item that the text holds, the first one among equals."""
+        out = {}
         for i, stretches in self.windows(text).items():
             forward, backward = self.pattern(i)
             best, end = int(forward.size * self.error_rate) + 1, -1
@@ -128,8 +142,45 @@ class Items:
             if end >= 0:
                 before = text[max(0, end - forward.size - best) : end][::-1]
                 length = next(n for n, d in enumerate(backward.distances(before, anchored=True), 1) if d == best)
-                out.append({"item_id": self.rows[i][0], "distance": best, "begin": end - length, "end": end})
-        return sorted(out, key=lambda leak: leak["item_id"])
+                out[i] = best, end - length, end
+        return out
+
+
+class Items:
+    """A block of items, ready to be searched for in texts."""
+
+    def __init__(self, rows: list[tuple[int, str]], error_rate: float, min_chars: int):
+        self.rows, self.error_rate, self.min_chars = rows, error_rate, min_chars
+        self.plain = None
+
+    def build(self) -> None:
+        plain, fold, self.whole = {}, {}, defaultdict(list)
+        for i, (_, text) in enumerate(self.rows):
+            short = folded(text)
+            if not short:
+                continue
+            if len(text) >= self.min_chars:
+                plain[i] = text
+            if min(len(text), len(short)) < self.min_chars:
+                self.whole[short].append(i)
+            else:
+                fold[i] = short
+        self.plain, self.folded = Index(plain, self.error_rate), Index(fold, self.error_rate)
+
+    def leaks(self, text: str | None) -> list[dict]:
+        """The best passage for each item that the text holds, as it stands or folded."""
+        if not text:
+            return []
+        if self.plain is None:
+            self.build()
+        best, short, places = self.plain.best(text), folded(text), None
+        for i, (distance, begin, end) in self.folded.best(short).items():
+            if i not in best or distance < best[i][0]:
+                places = places or origins(text)
+                best[i] = distance, places[begin], places[end - 1] + 1
+        best |= {i: (0, 0, len(text)) for i in self.whole.get(short, ())}
+        names = ("distance", "begin", "end")
+        return sorted(({"item_id": self.rows[i][0]} | dict(zip(names, found, strict=True)) for i, found in best.items()), key=lambda leak: leak["item_id"])
 
 
 def item_blocks(items: DataFrame, item_id: str, item_text: str, block_chars: int) -> list[list[tuple[int, str]]]:

@@ -104,6 +104,31 @@ def test_leak_place(spark):
     assert (row.distance, docs.first().text[row.begin : row.end]) == (2, "the very special sentence of the tset here")
 
 
+def test_leaks_in_capitals_and_wrapped_anew(spark):
+    """Letter case and runs of white space cost no edit; what was near enough as it stands still is."""
+    pick = random.Random(12)
+    items = [(i, " ".join("".join(pick.choices("abcdefghß", k=pick.randint(2, 7))) for _ in range(pick.randint(8, 25)))) for i in range(6)]
+    items += [(90, "Short one"), (91, " \n\t "), (92, "One  word \n and others of it")]
+    changes = [str.upper, str.title, lambda t: t.replace(" ", "\n    "), lambda t: t.upper().replace(" ", " \r\n"), lambda t: t[:20] + "x" + t[21:].upper(), lambda t: t.replace("ß", "x", 1), lambda t: t[:9] + "   " + t[12:]]
+    docs = [(len(changes) * i + n, f"Before\n\nit  ß {change(said)}\n\n  and After") for i, (_, said) in enumerate([*items[:6], items[8]]) for n, change in enumerate(changes)]
+    docs += [(100, "\n SHORT \t ONE"), (101, " "), (102, "a SHORT one")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), table, error_rate=0.1).collect()
+    fold = lambda t: " ".join(t.casefold().split())
+    expected = {(100, 90): 0}
+    for doc, text in docs:
+        for item, said in [*items[:6], items[8]]:
+            tries = [(brute.edit_distance_within(a, b), int(len(a) * 0.1)) for a, b in ((said, text), (fold(said), fold(text)))]
+            if distances := [d for d, most in tries if d <= most]:
+                expected[doc, item] = min(distances)
+    assert {(r.doc_id, r.item_id): r.distance for r in found} == expected
+    assert all(expected[len(changes) * i + n, item] == 0 for i, item in enumerate([*range(6), 92]) for n in range(4))
+    said, texts = dict(items), dict(docs)
+    for row in found:
+        passage = texts[row.doc_id][row.begin : row.end]
+        assert min(brute.edit_distance_within(a, b) for a, b in ((said[row.item_id], passage), (fold(said[row.item_id]), fold(passage)))) == row.distance
+
+
 def test_pseudonyms_keep_formats():
     names = pseudonyms.Pseudonyms(KEY)
     assert sorted(names.permute(i, 1000, "x") for i in range(1000)) == list(range(1000))
