@@ -11,16 +11,18 @@ elements that are never main text by their tag or name (menus, headers, footers,
 comments, scripts, styles). Texts of inline elements are joined; white space inside a block becomes one space, and
 blocks are joined by an empty line.
 
-A node seen ``FEW`` times or less is never noise by its importance. Null and empty pages have an empty text, pages
+A node seen ``FEW`` times or less is never noise by its importance, nor is a chosen article or main element or what
+encloses it. Null and empty pages have an empty text, pages
 without host share one tree, and broken markup is read as far as it goes: open elements end with the page. Branches
-deeper than ``DEEP`` levels belong to the node at that level. Repeated pages count as often as they stand in the table.
+deeper than ``DEEP`` levels belong to the node at that level. Equal pages of a host count as one in its tree, however
+often they stand in the table; each of the rows gets its text.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ LOW, FEW = 0.3, 8
 DEEP = 48
 #: Up to so many noise branches travel to all tasks; more are joined page by page.
 SENT_BRANCHES = 100_000
+#: Up to so many different pages that stand in the table several times travel to all tasks; more are joined.
+SENT_COPIES = 100_000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)",
@@ -199,7 +203,7 @@ class Page:
                 node = node.parent
             for node in reversed(trail):
                 if node.parent is not None:
-                    inside[id(node)] = (inside[id(node.parent)] or node.tag == region) and not node.never and node.path not in noise
+                    inside[id(node)] = (inside[id(node.parent)] or node.tag == region) and not node.never and (node.tag in (region, "html", "body") or node.path not in noise)
             return inside[id(trail[0] if trail else node)]
 
         blocks, current = [], []
@@ -225,21 +229,33 @@ def rows_of_pages(pages: DataFrame, id_column: str, url_column: str, html_column
     return pages.select(F.col(id_column).alias("page"), F.col(url_column).alias("url"), F.coalesce(F.col(html_column), F.lit("")).alias("html"), host.alias("host"))
 
 
+def with_copies(pages: DataFrame) -> DataFrame:
+    """Host and html of every row, and in how many rows the host has this html."""
+    keyed = pages.select("host", "html", F.xxhash64("host", "html").alias("key"))
+    copies = materialize(keyed.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+    if copies.count() <= SENT_COPIES:
+        copies = F.broadcast(copies)
+    return keyed.join(copies, "key", "left").select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
 def style_trees(pages: DataFrame) -> DataFrame:
-    """For every host and path: its parent's path, occurrences and importance."""
+    """For every host and path: its parent's path, occurrences in different pages and importance."""
 
     def count(batches):
         for batch in batches:
-            found: Counter = Counter()
-            for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                found.update((host, *row) for row in Page(source).seen())
+            found: dict[tuple, float] = defaultdict(float)
+            rows = Counter(zip(*(batch.column(name).to_pylist() for name in ("host", "html", "copies")), strict=True))
+            for (host, source, copies), times in rows.items():
+                for row in Page(source).seen():
+                    found[host, *row] += times / copies
             columns = list(zip(*found, strict=True)) or [()] * 5
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.record_batch([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)] + [pa.array(list(found.values()), pa.int64())], ["host", "path", "parent", "kind", "value", "n"])
+            yield pa.record_batch([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)] + [pa.array(list(found.values()), pa.float64())], ["host", "path", "parent", "kind", "value", "n"])
 
-    values = pages.select("host", "html").mapInArrow(count, "host string, path long, parent long, kind int, value long, n long")
+    values = with_copies(pages).mapInArrow(count, "host string, path long, parent long, kind int, value long, n double")
     node = ["host", "path", "parent", "kind"]
-    values = values.groupBy(*node, "value").agg(F.sum("n").alias("n"))
+    # The copies of a page add up to one, so each value's sum is a whole number.
+    values = values.groupBy(*node, "value").agg(F.round(F.sum("n")).cast("long").alias("n"))
     # The entropy of shares n / total is log(total) - sum(n log n) / total; relative to log(total) it is at most 1.
     sums = values.groupBy(*node).agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log("n")).alias("weighted"))
     entropy = (F.log("total") - F.col("weighted") / F.col("total")) / F.log("total")

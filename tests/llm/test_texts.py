@@ -195,6 +195,24 @@ def test_style_tree_finds_noise_without_names(spark):
     assert {r.text for r in style_tree.extract(pages).where("page_id = 4").collect()} == {"Own text number 4 about 28"}
 
 
+@pytest.mark.parametrize("copies", [9, 1000])
+@pytest.mark.parametrize("shape", ["<body><article><h1>%s</h1><p>%s</p></article></body>", "<main><div>%s, %s</div></main>", "<div><div><p>%s</p>%s</div></div>"])
+def test_style_tree_keeps_repeated_pages(spark, copies, shape):
+    """Copies of a page take no text from each other, nor from other pages of that layout; pages without url neither."""
+    rows = [(i, url, shape % ("Again", "the same")) for url in ("http://h.example/x", None) for i in range(copies)]
+    rows += [(10_000 + i, url, shape % (f"Number {i}", f"told once {i * 7}")) for url in ("http://h.example/x", None) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = {(r.page_id, " ".join(r.text.replace(",", "").split())) for r in style_tree.extract(pages).collect()}
+    assert texts == {(i, "Again the same") for i in range(copies)} | {(10_000 + i, f"Number {i} told once {i * 7}") for i in range(3)}
+
+
+def test_style_tree_keeps_articles_told_anew(spark):
+    """Different pages with one article: the article element is no noise, the text around it is."""
+    page = "<html><body><div>On all pages</div><div>Visit %d</div><article><p>One story, told anew on every page of the site</p></article></body></html>"
+    pages = spark.createDataFrame([(i, "http://h.example/x", page % i) for i in range(30)], "page_id long, url string, html string")
+    assert {r.text for r in style_tree.extract(pages).collect()} == {"One story, told anew on every page of the site"}
+
+
 def vectors_of(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
 
