@@ -6,13 +6,14 @@ styles (sequences of children) and with which own texts it occurs. A node's impo
 its texts, whichever is larger, relative to the number of occurrences: templates repeat the same few styles and texts,
 articles do not. A branch is noise if it and all below it have a low importance.
 
-A page's text comes from its articles, or else its main element, or else its body, without noise branches and without
-elements that are never main text by their tag or name (menus, headers, footers, sidebars, notices, adverts, forms,
-comments, scripts, styles). Texts of inline elements are joined; white space inside a block becomes one space, and
+A page's text comes from its articles if they hold most of what is kept of it, or else its main element, or else its
+body, without noise branches and without elements that are never main text by their tag or name (menus, headers, footers,
+sidebars, notices, adverts, forms, comments, scripts, styles). Names say nothing about html, body, main and a chosen
+article, and ``has-sidebar``, ``no-ads`` or ``menu-open`` are no names of the element itself. Texts of inline elements are joined; white space inside a block becomes one space, and
 blocks are joined by an empty line.
 
 A node seen ``FEW`` times or less is never noise by its importance, nor is a chosen article or main element or what
-encloses it. Null and empty pages have an empty text, pages
+encloses it; inside one, noise branches that would take most of its text are none. Null and empty pages have an empty text, pages
 without host share one tree, and broken markup is read as far as it goes: open elements end with the page. Branches
 deeper than ``DEEP`` levels belong to the node at that level. Equal pages of a host count as one in its tree, however
 often they stand in the table; each of the rows gets its text.
@@ -54,17 +55,30 @@ ENDS_P = frozenset("address article aside blockquote div dl fieldset figure foot
 ENDS_OWN = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LISTS = frozenset(("ul", "ol", "dl", "table", "select"))
 NEVER_TAGS = frozenset("nav header footer aside form button select script style textarea noscript template iframe head title dialog menu svg".split())
-NEVER_NAMES = re.compile(
-    r"(?:^|[-_\s])(?:ad|ads|advert|adverts|advertisement|advertising|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|masthead|menu|nav|navbar|navigation|newsletter|notice|notices|popup|promo|promoted|related|replies|respond|share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[-_\s])",
-    re.IGNORECASE,
+NEVER_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu nav navbar navigation newsletter notice notices popup promo promoted related replies respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Parts of a name that say what an element has or in which state it is, not what it is.
+BEFORE, LAST = frozenset("has no not with without is".split()), frozenset("open opened closed active inactive visible hidden enabled disabled free on off".split())
+#: Elements that are not judged by their names.
+UNNAMED = frozenset("html body main article".split())
+
+
+def never_named(names: str) -> bool:
+    """Whether one of the names tells that an element is never main text."""
+    for name in names.lower().split():
+        parts = re.split("[-_]+", name)
+        found = next((i for i, part in enumerate(parts) if part in NEVER_NAMES), None)
+        if found is not None and BEFORE.isdisjoint(parts[:found]) and (len(parts) == 1 or parts[-1] not in LAST):
+            return True
+    return False
 
 
 class Node:
-    __slots__ = ("tag", "path", "never", "styles", "text", "parent")
+    __slots__ = ("tag", "path", "never", "named", "styles", "text", "parent")
 
-    def __init__(self, tag: str, path: int, never: bool, parent: Node | None):
-        self.tag, self.path, self.never, self.parent = tag, path, never, parent
+    def __init__(self, tag: str, path: int, never: bool, parent: Node | None, named: bool = False):
+        self.tag, self.path, self.never, self.parent, self.named = tag, path, never, parent, named
         self.styles: list[str] = []
         self.text: list[str] = []
 
@@ -139,9 +153,10 @@ class Page:
             self.end_within(own, LISTS)
         parent = self.stack[-1]
         names = " ".join(a or b or c for a, b, c in NAMES.findall(rest)) if rest else ""
-        never = parent.never or tag in NEVER_TAGS or bool(names and NEVER_NAMES.search(names))
+        named = bool(names) and never_named(names)
+        never = parent.never or tag in NEVER_TAGS or (named and tag not in UNNAMED)
         label = re.sub(r"\d+", "0", names)
-        node = Node(tag, self.child(parent, tag, label), never, parent)
+        node = Node(tag, self.child(parent, tag, label), never, parent, named)
         if tag not in INLINE:
             container(parent).styles.append(f"{tag}.{label}" if label else tag)
         self.nodes.append(node)
@@ -188,24 +203,56 @@ class Page:
                 out.append((node.path, above, 1, hash_text(text)))
         return out
 
+    def tops(self, tag: str) -> list[Node]:
+        """The outermost elements of a tag that may be main text."""
+        within: set[int] = set()
+        out = []
+        for node in self.nodes[1:]:
+            if id(node.parent) in within:
+                within.add(id(node))
+            elif node.tag == tag and not node.never:
+                within.add(id(node))
+                out.append(node)
+        return out
+
+    def inside(self, region: list[Node], noise: frozenset[int]) -> set[int]:
+        """The nodes of a region that are kept; its own elements and html and body are not judged as noise, nor the former by name."""
+        chosen, out = set(map(id, region)), set()
+        for node in self.nodes:
+            if id(node) in chosen:
+                out.add(id(node))
+            elif id(node.parent) in out and not node.never and (node.tag in ("html", "body") or not (node.tag == "article" and node.named or node.path in noise)):
+                out.add(id(node))
+        return out
+
+    def region(self, noise: frozenset[int]) -> set[int]:
+        """The kept nodes of the articles, the main element or the whole page."""
+        sizes = [(id(node), len(text.strip())) for node, text in self.pieces if text is not None]
+
+        def size(kept: set[int]) -> int:
+            return sum(n for node, n in sizes if node in kept)
+
+        def kept(region: list[Node]) -> set[int]:
+            found = self.inside(region, noise)
+            whole = self.inside(region, frozenset()) if noise else found
+            return whole if 2 * size(found) < size(whole) else found
+
+        articles = self.tops("article")
+        plain = [a for a in articles if not a.named]
+        named = sorted((a for a in articles if a.named), key=lambda a: -size(self.inside([a], frozenset())))[:1]
+        for some in (plain, named):
+            if some:
+                found = kept(some)
+                if 2 * size(found) > size(found | self.inside([self.root, *plain, *some], noise)):
+                    return found
+        mains = self.tops("main")
+        if mains and size(found := kept(mains)):
+            return found
+        return self.inside([self.root], noise)
+
     def main_text(self, noise: frozenset[int]) -> str:
         """The blocks of the main region without noise."""
-        inside: dict[int, bool] = {}
-        region = next((tag for tag in ("article", "main") if any(n.tag == tag and not n.never for n in self.nodes)), None)
-
-        def kept(node: Node) -> bool:
-            trail = []
-            while id(node) not in inside:
-                trail.append(node)
-                if node.parent is None:
-                    inside[id(node)] = region is None
-                    break
-                node = node.parent
-            for node in reversed(trail):
-                if node.parent is not None:
-                    inside[id(node)] = (inside[id(node.parent)] or node.tag == region) and not node.never and (node.tag in (region, "html", "body") or node.path not in noise)
-            return inside[id(trail[0] if trail else node)]
-
+        kept = self.region(noise)
         blocks, current = [], []
         for node, text in [*self.pieces, (self.root, None)]:
             if text is None:
@@ -213,7 +260,7 @@ class Page:
                 if block:
                     blocks.append(block)
                 current = []
-            elif kept(node):
+            elif id(node) in kept:
                 current.append(html.unescape(text))
         return "\n\n".join(blocks)
 

@@ -213,6 +213,25 @@ def test_style_tree_keeps_articles_told_anew(spark):
     assert {r.text for r in style_tree.extract(pages).collect()} == {"One story, told anew on every page of the site"}
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ('<body class="single has-sidebar"><p>Story</p></body>', "Story"),
+        ('<html class="no-ads"><body id="header"><main class="widget"><p>Story</p></main></body></html>', "Story"),
+        ('<body><article class="has-header"><p>Story</p></article></body>', "Story"),
+        ('<body><article class="related story"><p>Story</p></article></body>', "Story"),
+        ('<body><div class="menu-open"><p>Story</p></div><div class="site-menu">Menu</div><div class="comment_list">Mine</div></body>', "Story"),
+        ('<body><div class="post comments-open"><p>Story</p></div><div id="comments">Mine</div></body>', "Story"),
+        ('<body><main><p>A long story</p><article class="card">Teaser</article></main></body>', "A long story\n\nTeaser"),
+        ('<body><div><p>A long story</p></div><article class="card">Teaser</article><article class="promo">Buy</article></body>', "A long story\n\nTeaser"),
+        ('<body><div>Some</div><article><p>A long story</p><article class="comment">A much longer comment on it</article></article></body>', "A long story"),
+        ('<body><main><article>One story</article><article>Another</article></main><div>Other</div></body>', "One story\n\nAnother"),
+    ],
+)
+def test_style_tree_names_and_regions(page, expected):
+    assert style_tree.Page(page).main_text(frozenset()) == expected
+
+
 def vectors_of(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
 
