@@ -5,7 +5,9 @@ digits, check digits and dates stay valid, and equal values get equal pseudonyms
 on any range of integers; values that fall outside are permuted again until they are inside.
 
 Kinds: e-mail addresses, IPv4 addresses, phone numbers, payment cards (Luhn) and other runs of 13 to 19 digits,
-IBANs (modulo 97), social security numbers, dates, and hexadecimal secrets of 32 digits and more.
+IBANs (modulo 97), social security numbers, dates (also with a time after a T), and hexadecimal secrets of 32 digits and
+more. Where digit groups follow each other, a card among them is found by its check digit: groups of the sizes usual for
+cards, or else the longest run of whole groups.
 Null stays null, an empty text stays empty, and a text without such data is returned unchanged.
 """
 
@@ -26,19 +28,40 @@ MARGIN = 64
 FOUND_TYPE = "struct<text:string,n_found:bigint>"
 
 SPOT = re.compile(r"[0-9@]|[0-9a-fA-F]{32}")
-VALUE = re.compile(
+PATTERN = re.compile(
     r"(?P<email>[\w.+%-]*\w@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))"
-    r"|(?P<date>(?<![\w/.-])(?:\d{4}-\d\d-\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?![\w/-]|\.\d))"
+    r"|(?P<date>(?<![\w/.-])(?:\d{4}-\d\d-\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?!(?![Tt]\d\d)[\w/-]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-]))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w))"
     r"|(?P<secret>(?<!\w)(?=[a-f]*\d)[0-9a-f]{32,}(?!\w)|(?<!\w)(?=[A-F]*\d)[0-9A-F]{32,}(?!\w))"
     r"|(?P<number>(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w))"
     r"|(?P<phone>(?<!\w)(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w|\.\d))"
 )
+GROUPS, GROUP = re.compile(r"\d(?:[ -]?\d)*"), re.compile(r"\d+")
+CARD = re.compile(r"(?P<number>\d(?:[ -]?\d){12,18})")
+#: Sizes of the groups in which cards are usually written.
+CARD_SHAPES = frozenset(((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)))
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+class Values:
+    """What ``PATTERN`` finds, with cards told apart from the numbers beside them."""
+
+    def finditer(self, text: str, low: int = 0, high: int | None = None):
+        high = len(text) if high is None else high
+        while match := PATTERN.search(text, low, high):
+            place = card_place(text, match.start(), high) if match.lastgroup == "number" else None
+            if place:
+                yield from self.finditer(text, match.start(), place[0])
+                match = CARD.match(text, *place)
+            yield match
+            low = match.end()
+
+
+VALUE = Values()
+
+
 class Pseudonyms:
     """The permutations under one key."""
 
@@ -180,6 +203,26 @@ def luhn(digits: list[str]) -> int:
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10
 
 
+def card_place(text: str, low: int, high: int) -> tuple[int, int] | None:
+    """The first card among the digit groups that begin at ``low``."""
+    end = GROUPS.match(text, low, high).end()
+    groups = [m.span() for m in GROUP.finditer(text, low, end)]
+    if end < high and (text[end].isalnum() or text[end] == "_"):
+        groups.pop()
+
+    def valid(some: list[tuple[int, int]]) -> bool:
+        return 13 <= sum(b - a for a, b in some) <= 19 and luhn([c for a, b in some for c in text[a:b]]) == 0
+
+    for first in range(len(groups)):
+        # A run of 19 digits has 19 groups at most.
+        for last in range(min(len(groups), first + 19), first, -1):
+            if valid(groups[first:last]):
+                usual = (groups[a:b] for a in range(first, last) for b in range(a + 1, min(len(groups), a + 5) + 1))
+                run = next((some for some in usual if (len(some) == 1 or tuple(b - a for a, b in some) in CARD_SHAPES) and valid(some)), groups[first:last])
+                return run[0][0], run[-1][1]
+    return None
+
+
 def mod97(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text)) % 97
 

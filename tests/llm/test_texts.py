@@ -162,6 +162,26 @@ def test_pseudonyms_are_linked(spark, odd, none):
     assert pseudonyms.pseudonymize(none, KEY).collect() == []
 
 
+def test_cards_beside_other_numbers():
+    names = pseudonyms.Pseudonyms(KEY)
+    plain, blanks = names.replace("4111111111111111")[0], names.replace("4111 1111 1111 1111")[0]
+    assert blanks.replace(" ", "") == plain
+    for said in ("%s 12 apples", "order 7 %s", "card %s 12/25", "12 34 %s", "1234 5678 9012 %s", "%s 10", "no. 5 %s 3, next"):
+        assert names.replace(said % "4111111111111111") == (said % plain, 1)
+        assert names.replace(said % "4111 1111 1111 1111") == (said % blanks, 1)
+    assert names.replace("4111111111111111 4111 1111 1111 1111 2024-01-05") == (f"{plain} {blanks} {names.date('2024-01-05')}", 3)
+    assert names.replace("4111111111111111 10.20.30.40") == (f"{plain} {names.ip('10.20.30.40')}", 2)
+    other = names.replace("1234 5678 9012 3456")
+    assert other[1] == 1 and other[0] != "1234 5678 9012 3456"
+
+
+def test_dates_with_times():
+    names = pseudonyms.Pseudonyms(KEY)
+    for time in ("T10:00:00Z", "T10:00", "t10:00:00.5+01:00", "T1000"):
+        assert names.replace(f"at 2024-01-05{time} now") == (f"at {names.date('2024-01-05')}{time} now", 1)
+    assert names.replace("2024-01-05Tx 2024-01-05-7") == ("2024-01-05Tx 2024-01-05-7", 0)
+
+
 def test_stretches_cover_all_values():
     names, pick = pseudonyms.Pseudonyms(KEY), random.Random(2)
     values = ["a@b.example.com", "10.20.30.40", "+1 (017) 555-7713", "5927243074273351", "2020-01-31"]
