@@ -1,43 +1,114 @@
-"""Running totals over an ordered table without a global sort or window."""
+"""Running totals over an ordered table: one sort by key ranges, offsets from one small table."""
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+
+from corpusloom.session import materialize, width
 
+# Rows that a task adds up at a time.
 BUCKET = 1 << 12
 
 
 def exclusive_prefix_sum(
     df: DataFrame, key: str, value: str, out: str, within: list[str] | None = None, bucket: int = BUCKET
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the rows before, by integer ``key``, per group ``within``.
+    """Add ``out``: the sum of ``value`` over the rows before, by ``key``, per group ``within``.
 
-    Keys are unique and not negative. They are cut into buckets of at most
-    ``bucket`` consecutive keys; sums of buckets are totalled the same way, level
-    by level. No window sees more than ``bucket`` rows, so one large group is no
-    bottleneck, and each level has far fewer rows than the one below.
+    Rows are dealt by ranges of (group, key) and sorted there; each range adds up
+    its rows, ``bucket`` at a time, and is written to the shared folder. A group
+    that began in an earlier range gets what that one holds of it: an offset per
+    range, from its first and last row. No task sees more than its range,
+    whatever share of the rows a group has. Null values count as 0; rows with equal keys are
+    taken in any order.
     """
-    top = df.agg(F.max(key)).first()[0]
-    return _level(df, key, value, out, within or [], bucket, 0 if top is None else top)
-
-
-def _level(df: DataFrame, key: str, value: str, out: str, within: list[str], bucket: int, top: int) -> DataFrame:
-    before = (Window.unboundedPreceding, -1)
-    if top < bucket:
-        order = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
-        return df.withColumn(out, F.coalesce(F.sum(value).over(order.orderBy(key).rowsBetween(*before)), F.lit(0)))
-    group, inner, total, outer = (f"_{name}_{key}" for name in ("bucket", "inner", "total", "outer"))
-    # Whole division: keys may be too large for a double.
-    number = F.expr(f"{key} div {bucket}").alias(group)
-    window = Window.partitionBy(*within, group).orderBy(key).rowsBetween(*before)
-    rows = df.select("*", number).withColumn(inner, F.coalesce(F.sum(value).over(window), F.lit(0)))
-    totals = df.select(*within, number, value).groupBy(*within, group).agg(F.sum(value).alias(total))
-    totals = _level(totals, group, total, outer, within, bucket, top // bucket).drop(total)
-    joined = rows.join(totals, [*within, group])
-    return joined.withColumn(out, F.col(inner) + F.col(outer)).drop(group, inner, outer)
+    within = within or []
+    order = [*within, key]
+    ranged = df.repartitionByRange(width(df.sparkSession), *order).sortWithinPartitions(*order)
+    marks = [("_part", IntegerType()), ("_open", BooleanType()), ("_head", BooleanType()), ("_tail", BooleanType())]
+    added = [StructField(name, kind) for name, kind in [(out, LongType()), *marks]]
+    schema = StructType([field for field in df.schema.fields if field.name != out] + added)
+    stored = materialize(ranged.mapInArrow(_adder(within, value, out, bucket), schema), "running")
+    edges = stored.where(F.col("_head") | F.col("_tail"))
+    heads = edges.where("_head").select(*within, "_part", F.lit(0).cast("long").alias("_total"), F.lit(True).alias("_asks"))
+    held = F.col(out) + F.coalesce(F.col(value), F.lit(0))
+    tails = edges.where("_tail").select(*within, "_part", held.alias("_total"), F.lit(False).alias("_asks"))
+    # At most two rows per range.
+    earlier = Window.partitionBy(*(within or [F.lit(0)])).orderBy("_part", F.desc("_asks")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = heads.unionByName(tails).withColumn("_offset", F.sum("_total").over(earlier)).where("_asks").select("_part", "_offset")
+    joined = stored.join(F.broadcast(offsets), "_part", "left")
+    begun = F.when(F.col("_open"), F.coalesce("_offset", F.lit(0))).otherwise(0)
+    return joined.withColumn(out, F.col(out) + begun).select(*(field.name for field in schema.fields[: -len(marks)]))
+
+
+def _adder(within: list[str], value: str, out: str, bucket: int):
+    """The running sums of one sorted range, and marks for its first group, first row and last row."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        group, total, opened, held = None, 0, True, None
+        for batch in batches:
+            for at in range(0, batch.num_rows, bucket):
+                piece = batch.slice(at, bucket)
+                keys = [piece.column(name) for name in within]
+                first = tuple(column[0].as_py() for column in keys)
+                starts = _changes(keys, piece.num_rows)
+                begins = held is not None and first != group
+                opened = opened and not begins
+                total = 0 if begins else total
+                amounts = pc.fill_null(piece.column(value).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+                sums = np.concatenate(([0], np.cumsum(amounts)))
+                # What had been added up where the row's group began; the first group goes on from the piece before.
+                base = np.maximum.accumulate(np.where(starts, np.arange(len(starts)), 0))
+                before = sums[:-1] - sums[base] + np.where(base == 0, total, 0)
+                places = np.flatnonzero(starts)
+                open_rows = np.arange(len(starts)) < (places[0] if len(places) else len(starts))
+                head = np.zeros(len(starts), bool)
+                if held is not None:
+                    yield _marked(*held)
+                else:
+                    head[0] = True
+                held = (piece, out, before, part, open_rows & opened, head)
+                opened = opened and not len(places)
+                group = tuple(column[-1].as_py() for column in keys)
+                total = int(before[-1] + amounts[-1])
+        if held is not None:
+            yield _marked(*held, last=True)
+
+    return add
+
+
+def _changes(keys: list[pa.Array], rows: int) -> np.ndarray:
+    """Where a row's group differs from that of the row before; the first row counts as no change."""
+    changed = np.zeros(rows, bool)
+    for column in keys:
+        a, b = column.slice(1), column.slice(0, rows - 1)
+        differs = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b)))
+        changed[1:] |= differs.to_numpy(zero_copy_only=False)
+    return changed
+
+
+def _marked(piece, out, before, part, open_rows, head, last=False) -> pa.RecordBatch:
+    tail = np.zeros(len(before), bool)
+    tail[-1] = last
+    columns = {name: column for name, column in zip(piece.schema.names, piece.columns) if name != out}
+    columns |= {out: pa.array(before), "_part": pa.array(np.full(len(before), part, "int32"))}
+    columns |= {"_open": pa.array(open_rows), "_head": pa.array(head), "_tail": pa.array(tail)}
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def within_budget(docs: DataFrame, key: str, size: str, budget: int) -> DataFrame:
     """Leading documents until their total size exceeds ``budget``; the crossing one is kept."""
     return exclusive_prefix_sum(docs, key, size, "_before").where(F.col("_before") <= budget).drop("_before")
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+import sys
+import uuid
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
+from urllib.parse import quote
+
+from pyarrow import fs
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 from corpusloom.functions.text import slug
 
@@ -70,6 +79,69 @@ def rendered_reports(metrics: DataFrame) -> DataFrame:
 
 
 def write_report(metrics: DataFrame, folder: str) -> None:
-    """One text file per section below ``folder/section=<slug>``."""
-    reports = rendered_reports(metrics).select(F.col("slug").alias("section"), F.col("document").alias("value"))
-    reports.repartition("section").write.mode("overwrite").partitionBy("section").option("lineSep", "").text(folder)
+    """One file ``<slug>.md`` per section in ``folder``; a section's earlier report is replaced."""
+    spark = metrics.sparkSession
+    spark.dataSource.register(ReportFiles)
+    rendered_reports(metrics).write.format(ReportFiles.name()).mode("append").save(folder)
+
+
+def read_report(spark: SparkSession, folder: str) -> DataFrame:
+    """``(slug, document)`` of the reports in a folder."""
+    files = spark.read.option("pathGlobFilter", "*.md").text(folder, wholetext=True)
+    name = F.url_decode(F.url_decode(F.regexp_replace("_metadata.file_name", r"\.md$", "")))
+    return files.select(name.alias("slug"), F.col("value").alias("document"))
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """Finished files of one task: where they wait, and the name each gets."""
+
+    files: list[tuple[str, str]]
+
+
+class ReportFiles(DataSource):
+    """A sink for rows ``(slug, document)``: one Markdown file each, in a folder that Arrow can open."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "report_files"
+
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+        return ReportWriter(self.options["path"])
+
+
+class ReportWriter(DataSourceWriter):
+    """Tasks write hidden files; the commit gives them their names, an abort removes them."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def store(self) -> tuple[fs.FileSystem, str]:
+        # Hadoop writes local paths as file:/a, Arrow reads file:///a.
+        return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", self.folder))
+
+    def write(self, iterator: Iterator[Row]) -> Written:
+        store, folder = self.store()
+        store.create_dir(folder)
+        files = []
+        for row in iterator:
+            pending = f"{folder}/_{uuid.uuid4().hex}"
+            with store.open_output_stream(pending) as out:
+                out.write(row["document"].encode())
+            files.append((pending, f"{folder}/{quote(row['slug'], safe='')}.md"))
+        return Written(files)
+
+    def commit(self, messages: list[Written]) -> None:
+        store, _ = self.store()
+        for message in messages:
+            for pending, final in message.files:
+                store.move(pending, final)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        store, _ = self.store()
+        for message in filter(None, messages):
+            for pending, _ in message.files:
+                store.delete_file(pending)
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,11 +3,10 @@ import sys
 
 import pytest
 from pyspark.sql import SparkSession
+from small_tables import SF
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

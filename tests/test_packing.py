@@ -43,6 +43,23 @@ def test_prefix_sum(spark, bucket):
     assert alone == {k: sum(v for j, _, v in rows if j < k) for k, _, _ in rows}
 
 
+def test_prefix_sum_with_nulls_and_one_large_group(spark):
+    rows = [(k, None if k % 3 else "g", None if k % 11 == 0 else k, f"t{k}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "k long, g string, v int, s string").repartition(7)
+    got = {r.k: (r.p, r.s) for r in exclusive_prefix_sum(df, "k", "v", "p", ["g"], 64).collect()}
+    sums, expected = {}, {}
+    for k, g, v, s in rows:
+        expected[k] = (sums.get(g, 0), s)
+        sums[g] = sums.get(g, 0) + (v or 0)
+    assert got == expected
+
+
+def test_prefix_sum_has_no_self_join(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k").withColumn("v", F.lit(1))
+    plan = exclusive_prefix_sum(df, "k", "v", "s")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Range (" not in plan
+
+
 def test_prefix_sum_of_nothing(spark):
     df = spark.createDataFrame([], "k long, v long")
     assert exclusive_prefix_sum(df, "k", "v", "s").count() == 0

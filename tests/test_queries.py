@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SF
+from small_tables import SF
 
 import __spark_entry__ as entry
 

@@ -4,6 +4,7 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from corpusloom.plans.tokenizer import CorpusTokenizer
@@ -164,7 +165,21 @@ def test_metrics(spark):
     assert reports["other"] == "## Other\ntimestamp: 2024-01-01 00:03:00\n\n- a: 1.5000\n- b: c\nfree text\n\n"
     out = scratch_path(spark, "report")
     metrics.write_report(spark.read.parquet(path), out)
-    assert {r.section for r in spark.read.text(out).collect()} == {"tokenizer-training", "other"}
+    written = dict(map(tuple, metrics.read_report(spark, out).collect()))
+    assert written == reports and written.keys() == {"tokenizer-training", "other"}
+    metrics.log_metrics(spark, path, "r", "Other", {"a": 2}, ts=at(4))
+    metrics.log_metrics(spark, path, "r", "A 100% slug/é", {"a": 3}, ts=at(4))
+    metrics.write_report(spark.read.parquet(path), out)
+    again = dict(map(tuple, metrics.read_report(spark, out).collect()))
+    assert again.keys() == {"tokenizer-training", "other", "a-100%-slug/é"}
+    assert again["other"].endswith("\n\n- a: 2\n\n") and again["tokenizer-training"] == written["tokenizer-training"]
+
+
+def test_report_files_of_a_failed_write_are_removed(tmp_path):
+    writer = metrics.ReportWriter(str(tmp_path))
+    done = writer.write(iter([Row(slug="a", document="x")]))
+    writer.abort([done, None])
+    assert list(tmp_path.iterdir()) == []
 
 
 def test_checkpoint_dir_is_kept(spark):
