@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, pieces, pseudonyms, shingle_join, style_tree, suffix_array, suffix_tree, token_counts, topk, toxicity
+from corpusloom.llm import decontamination, pieces, prefix_trie, pseudonyms, shingle_join, style_tree, suffix_array, suffix_tree, token_counts, topk, toxicity
 
 #: Public tokenizer files; the folder is a parameter.
 TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -80,6 +80,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of conversations that begin like the first of their five."""
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    borrowed = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    rebuilt, ids = prefix_trie.with_heads_of(turns, F.col("conv_id") - F.col("conv_id") % 5, borrowed, most=8)
+    nodes, ends = prefix_trie.trie(rebuilt, ids)
+    named = nodes.join(prefix_trie.joined_ids(ends), ["node1", "node2"], "left").drop("node1", "node2")
+    return named.withColumn("ends_sha256", F.coalesce("sha256", F.sha2(F.lit(""), 256))).drop("sha256")
+
+
 _REGISTERED = (
     op1_ngram_jaccard_join,
     op2_sentencepiece,
@@ -91,6 +101,7 @@ _REGISTERED = (
     op8_token_counts,
     op9_toxicity,
     op10_decontamination,
+    op11_prefix_trie,
 )
 QUERIES = {query.__name__: query for query in _REGISTERED}
 
@@ -124,4 +135,39 @@ ORACLES = {
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
         QUALIFY rank <= 5
     """,
+    "op11_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 5 AS lender, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 9 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ), said AS (
+            SELECT c.conv_id, 0 AS own, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.lender AND t.pos < c.h
+            UNION ALL SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h
+        ), path AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth, strlen(text) AS bytes,
+                   string_agg(md5(length(role) || ':' || role || text), ',') OVER (PARTITION BY conv_id ORDER BY own, pos) AS node
+            FROM said
+        ), member AS (
+            SELECT conv_id, depth, bytes, node, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY depth), '') AS parent,
+                   depth = count(*) OVER (PARTITION BY conv_id) AS ends FROM path
+            UNION ALL SELECT conv_id, 0, 0, '', NULL, conv_id NOT IN (SELECT conv_id FROM path) FROM convs
+        ), nodes AS (
+            SELECT node, min(parent) AS parent, min(conv_id) AS conv_id, min(depth) AS depth, count(*) AS n_convs, (count(*) - 1) * min(bytes) AS saved,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+            FROM member GROUP BY node
+        ), children AS (
+            SELECT parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent
+        ), below AS (
+            SELECT n.node, count(*) FILTER (WHERE b.node NOT IN (SELECT parent FROM children)) AS n_leaves, sum(b.saved) AS saved
+            FROM nodes n JOIN nodes b ON b.node = n.node OR n.node = '' OR starts_with(b.node, n.node || ',') GROUP BY n.node
+        )
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+               b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, n.ends_sha256
+        FROM nodes n JOIN below b USING (node) LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.parent = n.node
+    """,
 }

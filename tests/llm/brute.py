@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -117,3 +118,41 @@ def best_split(word, scores, unknown):
         out.append(piece if piece is not None else word[begin:end].encode())
         end = begin
     return out[::-1]
+
+
+def rebuilt_conversations(rows):
+    """Turns (role, text) by conv_id: the first h of conversation c - c % 5, then the own ones after h."""
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns[conv].append(((turn is not None, turn or 0), role or "", hashlib.md5((text or "").encode()).digest(), text or ""))
+    own = {conv: [(role, text) for _, role, _, text in sorted(found)] for conv, found in turns.items()}
+    out = {}
+    for conv in own:
+        h, base = zlib.crc32(str(conv).encode()) % 9, conv - (conv % 5 if conv >= 0 else -(-conv % 5))
+        out[conv] = own.get(base, [])[:h] + own[conv][h:]
+    return out
+
+
+def trie(rebuilt):
+    """Rows of the trie: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
+    members = defaultdict(list)
+    for conv, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children[node]
+        leaves[node] = sum(leaves[child] for child in below) if below else 1
+        mine = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        saved[node] = mine + sum(saved[child] for child in below)
+    out = []
+    for node, convs in members.items():
+        ends = sorted(conv for conv in convs if len(rebuilt[conv]) == len(node))
+        parent = min(members[node[:-1]]) if node else None
+        out.append((min(convs), len(node), parent, len(convs), len(children[node]), leaves[node], saved[node], sha(",".join(map(str, ends)).encode())))
+    return sorted(out, key=str)
