@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, pieces, prefix_trie, pseudonyms, shingle_join, style_tree, suffix_array, suffix_tree, token_counts, topk, toxicity
+from corpusloom.llm import decontamination, pieces, prefix_trie, pseudonyms, role_repair, shingle_join, style_tree, suffix_array, suffix_tree, token_counts, topk, toxicity
 
 #: Public tokenizer files; the folder is a parameter.
 TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -90,6 +90,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("ends_sha256", F.coalesce("sha256", F.sha2(F.lit(""), 256))).drop("sha256")
 
 
+def op13_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of every conversation, one turn in four damaged."""
+    return role_repair.repair_report(role_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 _REGISTERED = (
     op1_ngram_jaccard_join,
     op2_sentencepiece,
@@ -102,6 +107,7 @@ _REGISTERED = (
     op9_toxicity,
     op10_decontamination,
     op11_prefix_trie,
+    op13_role_repair,
 )
 QUERIES = {query.__name__: query for query in _REGISTERED}
 

@@ -156,3 +156,77 @@ def trie(rebuilt):
         parent = min(members[node[:-1]]) if node else None
         out.append((min(convs), len(node), parent, len(convs), len(children[node]), leaves[node], saved[node], sha(",".join(map(str, ends)).encode())))
     return sorted(out, key=str)
+
+
+def damaged_rows(rows):
+    """Rows after damage by conv_id, in order; a conversation that lost all has an empty list."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        shown = [" " if v is None else str(v) for v in (conv, turn)]
+        fate = zlib.crc32(":".join(shown).encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        role = "user" if fate == 4 else role
+        out[conv] += [((turn is not None, turn or 0), role, hashlib.md5(text.encode()).digest(), text)] * (0 if fate == 0 else 2 if fate == 3 else 1)
+    return {conv: [(turn if known else None, role, text) for (known, turn), role, _, text in sorted(found)] for conv, found in out.items()}
+
+
+def role_faults(turns):
+    """For each turn whether it is blank, duplicate, truncated or None."""
+    seen, out = set(), []
+    for _, role, text in turns:
+        said = re.findall(r"[^\x20\x09-\x0D]", text)
+        out.append("blank" if not said else "duplicate" if (role, text) in seen else "truncated" if said[-1] not in ".!?" else None)
+        seen.add((role, text))
+    return out
+
+
+def cheapest_repair(turns, most=4):
+    """Cost, audit and text of the best repair, trying every edit with up to ``most`` insertions in a row."""
+    faults = role_faults(turns)
+    names = {"u": "user", "a": "assistant"}
+    # All that matters of what was said: the initials so far, as far as the grammar tells them apart.
+    state = {"": (0, "", ())}
+    grammar = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    def better(found, key, option):
+        if key not in found or option[:2] < found[key][:2]:
+            found[key] = option
+
+    def with_insertions(state):
+        found = dict(state)
+        for _ in range(most):
+            for key, (cost, audit, lines) in list(found.items()):
+                for initial, name in names.items():
+                    if (after := grammar.get((key, initial))) is not None:
+                        better(found, after, (cost + 3, audit + "I", (*lines, name + ":")))
+        return found
+
+    for (_, role, text), fault in zip(turns, faults):
+        found = {}
+        for key, (cost, audit, lines) in with_insertions(state).items():
+            better(found, key, (cost + 4, audit + "D", lines))
+            if fault not in ("blank", "duplicate"):
+                price = 3 * (fault == "truncated")
+                if (after := grammar.get((key, role[:1]))) is not None:
+                    better(found, after, (cost + price, audit + "K", (*lines, f"{role}:{text}")))
+                for initial, name in names.items():
+                    if (after := grammar.get((key, initial))) is not None:
+                        better(found, after, (cost + price + 3, audit + "R", (*lines, f"{name}:{text}")))
+        state = found
+    found = with_insertions(state)
+    return min(found[key] for key in ("", "a") if key in found)
+
+
+def repair_report(rows):
+    """Rows of the repair: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256."""
+    out = []
+    for conv, turns in damaged_rows(rows).items():
+        faults = role_faults(turns)
+        numbers = {turn for turn, _, _ in turns if turn is not None}
+        gaps = max(numbers) - min(numbers) + 1 - len(numbers) if numbers else 0
+        initials = [role[:1] for _, role, _ in turns]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit, lines = cheapest_repair(turns)
+        out.append((conv, gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(lines).encode())))
+    return sorted(out, key=str)
