@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, pieces, prefix_trie, pseudonyms, role_repair, shingle_join, style_tree, suffix_array, suffix_tree, token_counts, topk, toxicity
+from corpusloom.llm import decontamination, pieces, prefix_trie, pseudonyms, role_repair, sharding, shingle_join, style_tree, suffix_array, suffix_tree, token_counts, topk, toxicity
 
 #: Public tokenizer files; the folder is a parameter.
 TOKENIZERS = os.environ.get("CORPUSLOOM_TOKENIZERS", "/opt/tokenizers")
@@ -90,6 +90,19 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.withColumn("ends_sha256", F.coalesce("sha256", F.sha2(F.lit(""), 256))).drop("sha256")
 
 
+def op12_uniform_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards, uniformly shuffled, counts at most one apart."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + F.lit(1).cast("long")).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+    return sharding.uniform_shards(docs, shards=8, seed=12)
+
+
 def op13_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and the cheapest repair of every conversation, one turn in four damaged."""
     return role_repair.repair_report(role_repair.damaged(table(spark, sf_dir, "conversations")))
@@ -107,6 +120,7 @@ _REGISTERED = (
     op9_toxicity,
     op10_decontamination,
     op11_prefix_trie,
+    op12_uniform_shards,
     op13_role_repair,
 )
 QUERIES = {query.__name__: query for query in _REGISTERED}
