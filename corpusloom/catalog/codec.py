@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.catalog import oracle as O
-from corpusloom.catalog.base import Query, documents, joined, tokenizer
+from corpusloom.catalog.base import MERGES, Query, documents, joined, tokenizer
 from corpusloom.catalog.chunks import CHAT_TURNS, chat_turns
-from corpusloom.catalog.training import WHOLE_TEXT_MERGES
 from corpusloom.catalog.vocab import PERMUTATION, permuted_tokenizer
 from corpusloom.functions.patterns import CHAT_PATTERN, CHAT_SPECIALS
 from corpusloom.operators import codec, pairs, vocabulary
@@ -40,7 +39,7 @@ def e4_encode_framed(spark, sf_dir):
 
 def e5_encode_whole_texts(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    size = 256 + WHOLE_TEXT_MERGES
+    size = 256 + MERGES
     tok = CorpusTokenizer.train(docs, size, pattern=None, specials=(), tie="first_seen", order="doc_id")
     return docs.select("doc_id", joined(tok.encode("text")).alias("ids"))
 
@@ -134,7 +133,7 @@ FROM documents LEFT JOIN encoded USING (doc_id)""",
         """
 SELECT doc_id, coalesce(array_to_string(ids, ' '), '') AS ids FROM documents LEFT JOIN encoded USING (doc_id)""",
         pattern=None,
-        merges=WHOLE_TEXT_MERGES,
+        merges=MERGES,
         first_seen=True,
         more=O.ENCODED,
     ),

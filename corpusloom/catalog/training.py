@@ -13,8 +13,6 @@ from corpusloom.operators.prefix import within_budget
 from corpusloom.plans.training import merges_frame, train_bpe
 
 BUDGET = 1_000_000
-FIRST_SEEN_MERGES = 12
-WHOLE_TEXT_MERGES = 8
 
 
 def c1_char_budget(spark, sf_dir):
@@ -73,13 +71,13 @@ def c10_train_chunks(spark, sf_dir):
 
 def c11_train_first_seen(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    merges = train_bpe(docs, 256 + FIRST_SEEN_MERGES, GPT4_PATTERN, tie="first_seen", order="doc_id")
+    merges = train_bpe(docs, 256 + MERGES, GPT4_PATTERN, tie="first_seen", order="doc_id")
     return merges_frame(spark, merges)
 
 
 def c12_train_whole_texts(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    merges = train_bpe(docs, 256 + WHOLE_TEXT_MERGES, None, tie="first_seen", order="doc_id")
+    merges = train_bpe(docs, 256 + MERGES, None, tie="first_seen", order="doc_id")
     return merges_frame(spark, merges)
 
 
@@ -177,8 +175,8 @@ WHERE coalesce(y.n, 0) <> coalesce(x.n, 0)""",
         merges=1,
     ),
     "c10_train_chunks": O.with_training(_merge_rows),
-    "c11_train_first_seen": O.with_training(_merge_rows, O.GPT4, FIRST_SEEN_MERGES, first_seen=True),
-    "c12_train_whole_texts": O.with_training(_merge_rows, None, WHOLE_TEXT_MERGES, first_seen=True),
+    "c11_train_first_seen": O.with_training(_merge_rows, O.GPT4, first_seen=True),
+    "c12_train_whole_texts": O.with_training(_merge_rows, None, first_seen=True),
     "c13_training_trace": O.with_training(
         f"""
 SELECT rnk + 1 AS step, (rnk + 1) * 100 // {MERGES} AS percent, a, b, 256 + rnk AS new_id, h AS bytes_hex, n::BIGINT AS cnt

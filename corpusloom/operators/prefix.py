@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,13 @@ BUCKET = 1 << 12
 
 
 def exclusive_prefix_sum(
-    df: DataFrame, key: str, value: str, out: str, within: list[str] | None = None, bucket: int = BUCKET
+    df: DataFrame,
+    key: str,
+    value: str,
+    out: str,
+    within: list[str] | None = None,
+    bucket: int = BUCKET,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over the rows before, by ``key``, per group ``within``.
 
@@ -29,14 +35,18 @@ def exclusive_prefix_sum(
     that began in an earlier range gets what that one holds of it: an offset per
     range, from its first and last row. No task sees more than its range,
     whatever share of the rows a group has. Null values count as 0; rows with equal keys are
-    taken in any order.
+    taken in any order. The result is read in the order of the ranges.
+
+    The rows are read twice, to find the ranges and to deal them out. What is costly to compute belongs in
+    ``prepare``: it is applied to the dealt and sorted rows, once, and must not move them.
     """
     within = within or []
     order = [*within, key]
     ranged = df.repartitionByRange(width(df.sparkSession), *order).sortWithinPartitions(*order)
+    ranged = prepare(ranged) if prepare else ranged
     marks = [("_part", IntegerType()), ("_open", BooleanType()), ("_head", BooleanType()), ("_tail", BooleanType())]
     added = [StructField(name, kind) for name, kind in [(out, LongType()), *marks]]
-    schema = StructType([field for field in df.schema.fields if field.name != out] + added)
+    schema = StructType([field for field in ranged.schema.fields if field.name != out] + added)
     stored = materialize(ranged.mapInArrow(_adder(within, value, out, bucket), schema), "running")
     edges = stored.where(F.col("_head") | F.col("_tail"))
     heads = edges.where("_head").select(*within, "_part", F.lit(0).cast("long").alias("_total"), F.lit(True).alias("_asks"))

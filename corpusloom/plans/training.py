@@ -1,21 +1,44 @@
-"""BPE training as an iterative DataFrame job."""
+"""BPE training as an iterative DataFrame job.
+
+The words are written once per generation, indexed by the pairs that they contain. The driver follows the counts of
+the leading pairs and takes some of the best ones that do not touch each other. One job then reads the words that have these pairs in
+the index, brings each up to date with the merges since the generation began, and sums up how every merge changes the
+counts of all pairs. With these sums the driver replays the merges one by one; as soon as another pair has become the best one,
+the rest is dropped and looked at anew. So each merge is the one that a recount would give, and a round costs what its words cost.
+
+A pair's count is largest when the younger of its tokens appears, and only falls after that. So pairs that were behind
+the followed ones when the generation began stay behind, and a new pair is followed if it begins before them.
+"""
 
 from __future__ import annotations
 
+import sys
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from heapq import heapify, heappop, heappush, nsmallest
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import sequences as S
 from corpusloom.functions.patterns import GPT4_PATTERN
 from corpusloom.operators import pairs as P
-from corpusloom.session import checkpoint, width
+from corpusloom.session import materialize, width
 
-CANDIDATES = 64
-# A checkpoint is due after so many rounds, or merges that every round repeats.
-ROUNDS_PER_CHECKPOINT = 8
-PENDING_MERGES = 32
+# Pairs whose counts the driver follows.
+FOLLOWED = 1 << 16
+# Merges tried in one round, and merges after which the words are written anew.
+ROUND_MERGES = 64
+GENERATION_MERGES = 128
+# Longer words are not listed by their pairs, but looked at in every round.
+INDEXED_LENGTH = 64
+# Equally frequent pairs whose first places one job compares.
+LISTED_TIES = 1 << 10
 
 
 @dataclass(frozen=True)
@@ -61,73 +84,246 @@ def train_bpe(
         raise ValueError(f"tie must be 'smallest' or 'first_seen', not {tie!r}")
     if order is None:
         raise ValueError("tie='first_seen' needs the order of the documents")
-    return _train_first_seen(docs, vocab_size - 256, pattern, text, order)
+    return _train_first_seen(docs, vocab_size - 256, pattern, text, order, batch)
 
 
-def train_on_chunks(chunks: DataFrame, num_merges: int, batch: bool = True) -> list[TrainedMerge]:
-    """Learn merges from chunk counts ``(chunk, cnt)``.
+def train_on_chunks(chunks: DataFrame, num_merges: int, batch: bool = True, rounds: list[Round] | None = None) -> list[TrainedMerge]:
+    """Learn merges from chunk counts ``(chunk, cnt)``; ``rounds`` collects what each round did."""
+    return _train(P.words(chunks).select("seq", "cnt"), num_merges, False, batch, rounds)
 
-    Each round is one job. Two tables are kept in checkpoints: the words, and
-    the counts of the three-token windows of their sequences. A round applies
-    the merges made since the last checkpoint to the words, corrects the window
-    counts by the words that changed, and takes the most frequent pairs.
-    """
-    if num_merges <= 0:
-        return []
-    spark = chunks.sparkSession
-    base = P.words(chunks).select("seq", "cnt").where(F.length("seq") > 1)
-    base = checkpoint(base.repartition(width(spark), "seq"))
-    grams = checkpoint(_count_windows(base))
+
+def _train_first_seen(
+    docs: DataFrame, num_merges: int, pattern: str | None, text: str, order: str, batch: bool = True
+) -> list[TrainedMerge]:
+    """Ties go to the pair that occurs first; every chunk carries its first position."""
+    exploded = P.explode_chunks(docs, pattern, text, order)
+    first = F.min(F.struct(F.col(order), "pos")).alias("first")
+    counts = exploded.groupBy("chunk").agg(F.count("*").alias("cnt"), first)
+    return _train(P.words(counts).select("seq", "cnt", "first"), num_merges, True, batch)
+
+
+@dataclass(frozen=True)
+class Round:
+    """What one round of training did: merges tried and made, index rows read, words changed."""
+
+    tried: int
+    made: int
+    read: int
+    changed: int
+
+
+@dataclass(frozen=True)
+class _Pick:
+    """A pair to merge; ``bound`` is what is known of the pairs that its merge creates."""
+
+    pair: str
+    n: int
+    bound: int = -1
+
+
+def _train(words: DataFrame, num_merges: int, first_seen: bool, batch: bool, rounds: list[Round] | None = None) -> list[TrainedMerge]:
     merges: list[TrainedMerge] = []
-    pending: list[S.Merge] = []
-    rounds = 0
+    if num_merges <= 0:
+        return merges
+    generation, size = _Generation(words, first_seen), 8
     while len(merges) < num_merges:
-        current = _corrected(grams, base, pending)
-        best = _candidates(current).collect()
-        take = _independent_prefix(best)[: num_merges - len(merges)] if batch else best[:1]
-        if not take:
-            break
-        for row in take:
-            a, b = map(S.token_id, row.pair)
-            rank = len(merges)
-            merges.append(TrainedMerge(rank, a, b, 256 + rank, row.n))
-            pending.append((a, b, 256 + rank))
-        rounds += 1
-        due = rounds == ROUNDS_PER_CHECKPOINT or len(pending) >= PENDING_MERGES
-        if due and len(merges) < num_merges:
-            grams = checkpoint(_corrected(grams, base, pending))
-            merged = base.select(S.fold(F.col("seq"), pending).alias("seq"), "cnt")
-            base = checkpoint(merged.where(F.length("seq") > 1))
-            pending, rounds = [], 0
+        if len(generation.pending) >= GENERATION_MERGES:
+            generation = generation.following()
+        picks = _independent_prefix(generation.picks(size if batch else 1))[: min(size if batch else 1, num_merges - len(merges))]
+        if not picks:
+            if generation.pending:
+                generation = generation.following()
+                continue
+            if generation.best is None:
+                break
+            # All pairs are equally frequent: the first one is known from the count of all.
+            picks = [generation.best]
+        changes, read, changed = generation.changes(picks, 256 + len(merges))
+        made = 0
+        for i, pick in enumerate(picks):
+            if i and not generation.leads(pick):
+                break
+            a, b = map(S.token_id, pick.pair)
+            merge = TrainedMerge(len(merges), a, b, 256 + len(merges), pick.n)
+            generation.apply(merge, changes[i])
+            merges.append(merge)
+            made += 1
+        size = min(2 * size, ROUND_MERGES) if made == len(picks) else max(4, 2 * made)
+        if rounds is not None:
+            rounds.append(Round(len(picks), made, read, changed))
     return merges
 
 
-def _count_windows(base: DataFrame) -> DataFrame:
-    return P.explode_grams(base, 3, "seq", "cnt").groupBy("gram").agg(F.sum("cnt").alias("n"))
+class _Generation:
+    """Words as they were written, the merges made since, and the counts of the leading pairs."""
 
+    def __init__(self, words: DataFrame, first_seen: bool):
+        self.first_seen = first_seen
+        self.keep = ["cnt", "first"] if first_seen else ["cnt"]
+        self.words = materialize(words.where(F.length("seq") > 1), "words")
+        self.index = materialize(self._index(), "index")
+        self.pending: list[tuple[str, str]] = []
+        # What each token made since then consists of.
+        self.parts: dict[str, str] = {}
+        rows = self._leading().collect()
+        self.floor = rows[FOLLOWED].n if len(rows) > FOLLOWED else 0
+        self.best = _Pick(rows[0].pair, rows[0].n) if rows else None
+        self.counts = {row.pair: row.n for row in rows[:FOLLOWED]}
+        self.known = dict(self.counts)
+        self.heap = [(-n, pair) for pair, n in self.counts.items()]
+        heapify(self.heap)
+        self.listed: dict[str, tuple[int, int]] = {}
 
-def _corrected(grams: DataFrame, base: DataFrame, pending: list[S.Merge]) -> DataFrame:
-    """Window counts after the pending merges."""
-    if not pending:
-        return grams
-    deltas = P.signed_grams(base, pending, 3, "seq", "cnt")
-    summed = grams.unionByName(deltas).groupBy("gram").agg(F.sum("n").alias("n"))
-    return summed.where(F.col("n") > 0)
+    def _index(self) -> DataFrame:
+        """One row per word and pair in it. Words of a frequent pair are spread over several ranges."""
+        found = "array_distinct(transform(sequence(1, length(seq) - 1), i -> substring(seq, i, 2)))"
+        rows = self.words.selectExpr(f"explode(if(length(seq) <= {INDEXED_LENGTH}, {found}, array(''))) AS pair", "seq", *self.keep)
+        return rows.repartitionByRange(width(rows.sparkSession), "pair", F.xxhash64("seq")).sortWithinPartitions("pair")
 
+    def _leading(self) -> DataFrame:
+        rows = P.explode_pairs(self.words, "seq", *self.keep).groupBy("pair")
+        if self.first_seen:
+            counts = rows.agg(F.sum("cnt").alias("n"), F.min(F.struct("first", "off")).alias("place"))
+            return counts.orderBy(F.desc("n"), "place").select("pair", "n").limit(FOLLOWED + 1)
+        return P.best_pairs(rows.agg(F.sum("cnt").alias("n")), FOLLOWED + 1)
 
-def _candidates(grams: DataFrame) -> DataFrame:
-    """The most frequent pairs ``(pair, n, bound)``.
+    def following(self) -> _Generation:
+        """The next generation: the words with all merges since."""
+        folded = self.words.select(S.fold(F.col("seq"), self._rules()).alias("seq"), *self.keep)
+        return _Generation(folded, self.first_seen)
 
-    ``bound`` is the largest count of a three-token window around the pair: no
-    pair that merging it creates can be more frequent.
-    """
-    rows = grams.selectExpr(
-        """inline(if(length(gram) = 3,
-             array(struct(left(gram, 2) AS pair, n, n AS bound), struct(right(gram, 2) AS pair, 0L AS n, n AS bound)),
-             array(struct(gram AS pair, n, 0L AS bound))))"""
-    )
-    counts = rows.groupBy("pair").agg(F.sum("n").alias("n"), F.max("bound").alias("bound"))
-    return P.best_pairs(counts, CANDIDATES)
+    def _rules(self) -> list[S.Merge]:
+        return [(S.token_id(pair[0]), S.token_id(pair[1]), S.token_id(new)) for pair, new in self.pending]
+
+    def picks(self, size: int) -> list[_Pick]:
+        """The best pairs in order, as far as it is known; none if others may be as frequent."""
+        found = nsmallest(size, ((-n, pair) for pair, n in self.counts.items() if n > self.floor))
+        picks = [_Pick(pair, -n) for n, pair in found]
+        if not self.first_seen or not picks:
+            return picks
+        # Ties are settled by first places: look at all pairs of a count, or at none.
+        least = picks[-1].n
+        ties = [pair for pair, n in self.counts.items() if n == least]
+        picks = [pick for pick in picks if pick.n > least] + ([_Pick(pair, least) for pair in ties] if len(ties) <= LISTED_TIES else [])
+        order = self._first_places([pick.pair for pick in picks]) if picks else {}
+        self.listed = {pick.pair: (pick.n, order[pick.pair]) for pick in picks}
+        return sorted(picks, key=lambda pick: (-pick.n, order[pick.pair]))
+
+    def _first_places(self, pairs: list[str]) -> dict[str, int]:
+        """The order in which pairs occur first."""
+        rows = self._rows_with(pairs).withColumn("seq", S.fold(F.col("seq"), self._rules()))
+        found = P.explode_pairs(rows, "seq", "first").where(F.col("pair").isin(pairs))
+        places = found.groupBy("pair").agg(F.min(F.struct("first", "off")).alias("place")).orderBy("place")
+        return {row.pair: i for i, row in enumerate(places.select("pair").collect())}
+
+    def leads(self, pick: _Pick) -> bool:
+        """Whether a pair is the best one by the counts as they are now."""
+        while self.heap and self.counts.get(self.heap[0][1]) != -self.heap[0][0]:
+            heappop(self.heap)
+        if not self.heap or not self.first_seen:
+            return bool(self.heap) and self.heap[0] == (-pick.n, pick.pair)
+        if self.heap[0][0] != -pick.n:
+            return False
+        # A pair that has kept its count since its place was found has kept its place.
+        ties = [pair for pair, n in self.counts.items() if n == pick.n]
+        known = [self.listed[pair][1] for pair in ties if self.listed.get(pair, (0, 0))[0] == pick.n]
+        return len(known) == len(ties) and min(known) == self.listed[pick.pair][1]
+
+    def apply(self, merge: TrainedMerge, changes: list[tuple[str, int]]) -> None:
+        a, b, new = map(S.symbol, (merge.a, merge.b, merge.new_id))
+        self.pending.append((a + b, new))
+        self.parts[new] = self.parts.get(a, a) + self.parts.get(b, b)
+        for pair, change in changes:
+            n = self.counts.get(pair, 0) + change
+            if n > 0:
+                self.counts[pair] = n
+                heappush(self.heap, (-n, pair))
+            else:
+                self.counts.pop(pair, None)
+
+    def _root(self, pair: str) -> str:
+        """A pair of the generation's own tokens that every word with ``pair`` contains; of several the rarest."""
+        spelt = "".join(self.parts.get(token, token) for token in pair)
+        return min((spelt[i : i + 2] for i in range(len(spelt) - 1)), key=lambda p: (self.known.get(p, 0), p))
+
+    def _rows_with(self, pairs: list[str]) -> DataFrame:
+        """Index rows of the words that may have any of the pairs, and of all long words."""
+        roots = sorted({self._root(pair) for pair in pairs} | {""})
+        # Single comparisons reach the files' statistics in any number; a long list would only do so as a range.
+        wanted = reduce(lambda a, b: a | b, (F.col("pair") == root for root in roots)) if len(roots) <= 256 else F.col("pair").isin(roots)
+        return self.index.where(wanted)
+
+    def changes(self, picks: list[_Pick], next_id: int) -> tuple[list[list[tuple[str, int]]], int, int]:
+        """For each merge the changes of the counts of pairs, if all before it were made; index rows read and words changed.
+
+        The driver gets up to two rows per token and merge, and of the new pairs those that it will follow.
+        """
+        roots = sorted({self._root(pick.pair) for pick in picks})
+        merges = [(pick.pair, S.symbol(next_id + i)) for i, pick in enumerate(picks)]
+        task = _changes_task(list(self.pending), merges, roots)
+        rows = self._rows_with([pick.pair for pick in picks]).select("pair", "seq", "cnt").mapInArrow(task, "step int, pair string, n long")
+        sums = rows.groupBy("step", "pair").agg(F.sum("n").alias("n"))
+        found: list[list[tuple[str, int]]] = [[] for _ in picks]
+        read = changed = 0
+        for row in sums.where((F.col("n") < 0) | (F.col("n") > self.floor) | (F.col("step") < 0)).collect():
+            if row.step >= 0:
+                found[row.step].append((row.pair, row.n))
+            elif row.step == -1:
+                read = row.n
+            else:
+                changed = row.n
+        return found, read, changed
+
+
+def _changes_task(pending: list[tuple[str, str]], merges: list[tuple[str, str]], roots: list[str]):
+    """Sums of the changes of pair counts per merge, for the index rows of one task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, str], int] = defaultdict(int)
+        read = changed = 0
+        for batch in batches:
+            read += batch.num_rows
+            for key, seq, cnt in zip(*(column.to_pylist() for column in batch.columns)):
+                # A word that is listed under several of the pairs counts under the first one.
+                if key and next(root for root in roots if root in seq) != key:
+                    continue
+                for pair, new in pending:
+                    if pair in seq:
+                        seq = seq.replace(pair, new)
+                before = seq
+                for step, (pair, new) in enumerate(merges):
+                    if pair in seq:
+                        after = seq.replace(pair, new)
+                        for changed_pair, n in pair_changes(seq, after, new):
+                            sums[step, changed_pair] += n * cnt
+                        seq = after
+                changed += seq is not before
+        sums[-1, ""], sums[-2, ""] = read, changed
+        keys = list(sums)
+        columns = [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys]), pa.array([sums[k] for k in keys], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["step", "pair", "n"])
+
+    return task
+
+
+def pair_changes(before: str, after: str, new: str) -> Iterator[tuple[str, int]]:
+    """How a merge into the symbol ``new`` changes the pairs of one sequence: only pairs that touch a place of the merge."""
+    if len(before) <= INDEXED_LENGTH:
+        for i in range(len(before) - 1):
+            yield before[i : i + 2], -1
+        for i in range(len(after) - 1):
+            yield after[i : i + 2], 1
+        return
+    old, now = (np.frombuffer(text.encode("utf-32-le"), "<u4") for text in (before, after))
+    places = np.flatnonzero(now == ord(new))
+    # Each merge before a place has made the sequence one symbol shorter.
+    merged = places + np.arange(len(places))
+    for symbols, begins, n in ((old, merged[:, None] + [-1, 0, 1], -1), (now, places[:, None] + [-1, 0], 1)):
+        begins = np.unique(begins)
+        begins = begins[(begins >= 0) & (begins < len(symbols) - 1)]
+        codes, counts = np.unique(symbols[begins].astype(np.uint64) << np.uint64(32) | symbols[begins + 1], return_counts=True)
+        for code, count in zip(codes.tolist(), counts.tolist()):
+            yield chr(code >> 32) + chr(code & 0xFFFFFFFF), n * count
 
 
 def _independent_prefix(best: list) -> list:
@@ -135,7 +331,7 @@ def _independent_prefix(best: list) -> list:
 
     None ends with the token that another begins with, so no occurrence of one
     touches an occurrence of another and each keeps its count; and each is more
-    frequent than any pair that an earlier one can create.
+    frequent than any pair that an earlier one is known to create.
     """
     take, firsts, seconds, bound = [], set(), set(), -1
     for row in best:
@@ -149,27 +345,4 @@ def _independent_prefix(best: list) -> list:
     return take
 
 
-def _train_first_seen(
-    docs: DataFrame, num_merges: int, pattern: str | None, text: str, order: str
-) -> list[TrainedMerge]:
-    """One merge per round; every chunk carries its first position."""
-    spark = docs.sparkSession
-    exploded = P.explode_chunks(docs, pattern, text, order)
-    first = F.min(F.struct(F.col(order), "pos")).alias("first")
-    counts = exploded.groupBy("chunk").agg(F.count("*").alias("cnt"), first)
-    base = P.words(counts).select("seq", "cnt", "first").where(F.length("seq") > 1)
-    base = checkpoint(base.repartition(width(spark), "seq"))
-    merges: list[TrainedMerge] = []
-    pending: list[S.Merge] = []
-    for rank in range(num_merges):
-        current = base.withColumn("seq", S.fold(F.col("seq"), pending))
-        best = P.best_pair_first_seen(current, ["first"]).collect()
-        if not best:
-            break
-        a, b = map(S.token_id, best[0].pair)
-        merges.append(TrainedMerge(rank, a, b, 256 + rank, best[0].n))
-        pending.append((a, b, 256 + rank))
-        if len(pending) == ROUNDS_PER_CHECKPOINT:
-            base = checkpoint(current.withColumn("seq", S.fold(F.col("seq"), pending[-1:])))
-            base, pending = base.where(F.length("seq") > 1), []
-    return merges
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from corpusloom.session import width
+from corpusloom.sources.row_groups import ROWS_PER_SHARD_LIMIT, RowGroups
 
-# Rows of one shard stay below this, so that shard and row make one order key.
-ROWS_PER_SHARD_LIMIT = 1 << 36
 SHARDS_SCHEMA = "shard_idx int, file_name string"
+# The session's switch for filters of Python data sources.
+PUSH_FILTERS = "spark.sql.python.filterPushdown.enabled"
 # Fixed value: documents that the loader encodes at a time.
 LOADER_BATCH = 128
 
@@ -136,6 +139,69 @@ def scan_documents(
     return rows.select(*columns)
 
 
+def scan_row_groups(
+    spark: SparkSession,
+    folder: str,
+    text: str = "text",
+    which: str | None = None,
+    start: int = 0,
+    step: int = 1,
+    resume: tuple[int, int] | None = None,
+    world: int = 1,
+    skip_unreadable: bool = True,
+) -> DataFrame:
+    """Documents of chosen row groups: ``shard_idx, rg_idx, row_idx, doc_key, text, failure``; no other group is opened.
+
+    ``start`` and ``step`` choose row groups of each shard, ``resume`` those that come after a saved ``(shard, row group)`` for each of
+    ``world`` ranks. What cannot be read gives one row with its name and error in ``failure``, from the same pass:
+    :func:`readable` leaves it out, and tells how many there were.
+    """
+    shards = chosen_shards(shard_paths(spark, folder), which, resume[0] if resume else 0)
+    reader = row_group_reader(spark, spark.read, shards, text, skip_unreadable, start=start, step=step, world=world, resume=resume)
+    return reader.option("pushes", spark.conf.get(PUSH_FILTERS)).load().drop("epoch")
+
+
+def row_group_reader(
+    spark: SparkSession, reader: DataFrameReader | DataStreamReader, shards: Sequence[tuple[int, str]], text: str, skip_unreadable: bool, **options: object
+) -> DataFrameReader | DataStreamReader:
+    """``reader`` set up for the row groups of numbered paths; options are left out where they are None."""
+    spark.dataSource.register(RowGroups)
+    given = {name: json.dumps(value) for name, value in options.items() if value is not None}
+    # A folder and the listing that the driver has made; its paths are escaped, as Arrow wants them.
+    paths = json.dumps([(shard, path) for shard, path in shards])
+    return reader.format(RowGroups.name()).options(shards=paths, text=text, skip_unreadable=str(skip_unreadable).lower(), **given)
+
+
+def readable(scanned: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """What a scan of row groups could read. ``observation`` counts rows and lists failures in the same pass."""
+    if observation is not None:
+        failures = F.sort_array(F.collect_set("failure"))
+        scanned = scanned.observe(observation, F.count_if(F.col("failure").isNull()).alias("rows"), F.count("failure").alias("failed"), failures.alias("failures"))
+    return scanned.where(F.col("failure").isNull()).drop("failure")
+
+
+def stream_row_groups(
+    spark: SparkSession,
+    folder: str,
+    progress: str,
+    text: str = "text",
+    which: str | None = None,
+    groups_per_batch: int = 64,
+    epochs: int | None = None,
+    stop_after: int | None = None,
+    skip_unreadable: bool = True,
+) -> DataFrame:
+    """An endless stream of passes over the row groups, ``groups_per_batch`` in each micro-batch, with the pass as ``epoch``.
+
+    It ends after ``epochs`` passes, or stands still after ``stop_after`` row groups, if these are given. ``progress`` is a folder that belongs to
+    the query's checkpoint: with both, a query goes on where it stopped, also in a later pass.
+    """
+    shards = chosen_shards(shard_paths(spark, folder), which)
+    options = {"progress": progress} | {name: str(n) for name, n in (("epochs", epochs), ("stop_after", stop_after)) if n is not None}
+    reader = row_group_reader(spark, spark.readStream, shards, text, skip_unreadable, groups_per_batch=groups_per_batch)
+    return reader.options(**options).load()
+
+
 def unreadable_shards(spark: SparkSession, folder: str) -> DataFrame:
     """``(shard_idx, file_name)`` of the files of a folder whose footer cannot be read."""
     shards = chosen_shards(shard_paths(spark, folder), None)
