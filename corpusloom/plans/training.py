@@ -22,7 +22,7 @@ from heapq import heapify, heappop, heappush, nsmallest
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import sequences as S
@@ -34,9 +34,11 @@ from corpusloom.session import materialize, width
 FOLLOWED = 1 << 16
 # Merges tried in one round, and merges after which the words are written anew.
 ROUND_MERGES = 64
-GENERATION_MERGES = 128
+GENERATION_MERGES = 96
 # Longer words are not listed by their pairs, but looked at in every round.
 INDEXED_LENGTH = 64
+# A generation is indexed when a round of the one before changed less than one word in so many.
+INDEX_SHARE = 16
 # Equally frequent pairs whose first places one job compares.
 LISTED_TIES = 1 << 10
 
@@ -125,11 +127,13 @@ def _train(words: DataFrame, num_merges: int, first_seen: bool, batch: bool, rou
     merges: list[TrainedMerge] = []
     if num_merges <= 0:
         return merges
-    generation, size = _Generation(words, first_seen), 8
+    generation, size, careful = _Generation(words, first_seen), 8, False
     while len(merges) < num_merges:
         if len(generation.pending) >= GENERATION_MERGES:
             generation = generation.following()
-        picks = _independent_prefix(generation.picks(size if batch else 1))[: min(size if batch else 1, num_merges - len(merges))]
+        size = min(size, num_merges - len(merges)) if batch else 1
+        picks = generation.picks(size)[:size]
+        picks = _independent_prefix(picks) if careful else _apart(picks)
         if not picks:
             if generation.pending:
                 generation = generation.following()
@@ -141,14 +145,15 @@ def _train(words: DataFrame, num_merges: int, first_seen: bool, batch: bool, rou
         changes, read, changed = generation.changes(picks, 256 + len(merges))
         made = 0
         for i, pick in enumerate(picks):
-            if i and not generation.leads(pick):
+            if i and not generation.leads(pick.pair):
                 break
             a, b = map(S.token_id, pick.pair)
-            merge = TrainedMerge(len(merges), a, b, 256 + len(merges), pick.n)
+            merge = TrainedMerge(len(merges), a, b, 256 + len(merges), generation.counts.get(pick.pair, pick.n))
             generation.apply(merge, changes[i])
             merges.append(merge)
             made += 1
-        size = min(2 * size, ROUND_MERGES) if made == len(picks) else max(4, 2 * made)
+        size = min(2 * size, ROUND_MERGES) if 2 * made > len(picks) else max(4, 2 * made)
+        careful = 2 * made < len(picks)
         if rounds is not None:
             rounds.append(Round(len(picks), made, read, changed))
     return merges
@@ -157,11 +162,14 @@ def _train(words: DataFrame, num_merges: int, first_seen: bool, batch: bool, rou
 class _Generation:
     """Words as they were written, the merges made since, and the counts of the leading pairs."""
 
-    def __init__(self, words: DataFrame, first_seen: bool):
+    def __init__(self, words: DataFrame, first_seen: bool, indexed: bool = False):
         self.first_seen = first_seen
         self.keep = ["cnt", "first"] if first_seen else ["cnt"]
         self.words = materialize(words.where(F.length("seq") > 1), "words")
-        self.index = materialize(self._index(), "index")
+        self.n_words = self.words.count()
+        # The first merges change much of the corpus: an index of it pays once rounds change little.
+        self.index = materialize(self._index(), "index") if indexed else None
+        self.rounds = self.changed = 0
         self.pending: list[tuple[str, str]] = []
         # What each token made since then consists of.
         self.parts: dict[str, str] = {}
@@ -181,19 +189,41 @@ class _Generation:
         return rows.repartitionByRange(width(rows.sparkSession), "pair", F.xxhash64("seq")).sortWithinPartitions("pair")
 
     def _leading(self) -> DataFrame:
-        rows = P.explode_pairs(self.words, "seq", *self.keep).groupBy("pair")
+        counts = self._pairs_of(self.words)
         if self.first_seen:
-            counts = rows.agg(F.sum("cnt").alias("n"), F.min(F.struct("first", "off")).alias("place"))
             return counts.orderBy(F.desc("n"), "place").select("pair", "n").limit(FOLLOWED + 1)
-        return P.best_pairs(rows.agg(F.sum("cnt").alias("n")), FOLLOWED + 1)
+        return P.best_pairs(counts, FOLLOWED + 1)
+
+    def _pairs_of(self, rows: DataFrame) -> DataFrame:
+        """``(pair, n)`` and, if asked for, the first ``place`` of each pair in some words."""
+        short = P.explode_pairs(rows.where(F.length("seq") <= INDEXED_LENGTH), "seq", *self.keep).withColumnRenamed("cnt", "n")
+        columns = ["pair", "n", *(["first", "off"] if self.first_seen else [])]
+        short = short.select(*columns)
+        # Cutting a long sequence at a place takes as long as reaching it: these are read in one go.
+        long = rows.where(F.length("seq") > INDEXED_LENGTH).select("seq", *self.keep)
+        both = short.unionByName(long.mapInArrow(_long_pairs_task(self.first_seen), short.schema))
+        place = [F.min(F.struct("first", "off")).alias("place")] if self.first_seen else []
+        return both.groupBy("pair").agg(F.sum("n").alias("n"), *place)
 
     def following(self) -> _Generation:
         """The next generation: the words with all merges since."""
-        folded = self.words.select(S.fold(F.col("seq"), self._rules()).alias("seq"), *self.keep)
-        return _Generation(folded, self.first_seen)
+        pays = self.index is not None or self.changed * INDEX_SHARE < self.n_words * self.rounds
+        return _Generation(self.words.select(self._current().alias("seq"), *self.keep), self.first_seen, pays)
 
-    def _rules(self) -> list[S.Merge]:
-        return [(S.token_id(pair[0]), S.token_id(pair[1]), S.token_id(new)) for pair, new in self.pending]
+    def _current(self) -> Column:
+        """Words with the merges made since the generation began."""
+        pending = list(self.pending)
+
+        def merged(seqs: pa.Array) -> pa.Array:
+            out = []
+            for seq in seqs.to_pylist():
+                for pair, new in pending:
+                    if pair in seq:
+                        seq = seq.replace(pair, new)
+                out.append(seq)
+            return pa.array(out, pa.string())
+
+        return F.arrow_udf(merged, "string")("seq")
 
     def picks(self, size: int) -> list[_Pick]:
         """The best pairs in order, as far as it is known; none if others may be as frequent."""
@@ -211,23 +241,23 @@ class _Generation:
 
     def _first_places(self, pairs: list[str]) -> dict[str, int]:
         """The order in which pairs occur first."""
-        rows = self._rows_with(pairs).withColumn("seq", S.fold(F.col("seq"), self._rules()))
-        found = P.explode_pairs(rows, "seq", "first").where(F.col("pair").isin(pairs))
-        places = found.groupBy("pair").agg(F.min(F.struct("first", "off")).alias("place")).orderBy("place")
+        rows = self._rows_with(pairs).withColumn("seq", self._current())
+        places = self._pairs_of(rows).where(F.col("pair").isin(pairs)).orderBy("place")
         return {row.pair: i for i, row in enumerate(places.select("pair").collect())}
 
-    def leads(self, pick: _Pick) -> bool:
+    def leads(self, pair: str) -> bool:
         """Whether a pair is the best one by the counts as they are now."""
         while self.heap and self.counts.get(self.heap[0][1]) != -self.heap[0][0]:
             heappop(self.heap)
-        if not self.heap or not self.first_seen:
-            return bool(self.heap) and self.heap[0] == (-pick.n, pick.pair)
-        if self.heap[0][0] != -pick.n:
+        if not self.heap or -self.heap[0][0] <= self.floor:
             return False
+        n = -self.heap[0][0]
+        if not self.first_seen or self.counts.get(pair) != n:
+            return self.heap[0][1] == pair
         # A pair that has kept its count since its place was found has kept its place.
-        ties = [pair for pair, n in self.counts.items() if n == pick.n]
-        known = [self.listed[pair][1] for pair in ties if self.listed.get(pair, (0, 0))[0] == pick.n]
-        return len(known) == len(ties) and min(known) == self.listed[pick.pair][1]
+        ties = [other for other, count in self.counts.items() if count == n]
+        known = [self.listed[other][1] for other in ties if self.listed.get(other, (0, 0))[0] == n]
+        return ties == [pair] or len(known) == len(ties) and min(known) == self.listed[pair][1]
 
     def apply(self, merge: TrainedMerge, changes: list[tuple[str, int]]) -> None:
         a, b, new = map(S.symbol, (merge.a, merge.b, merge.new_id))
@@ -247,11 +277,18 @@ class _Generation:
         return min((spelt[i : i + 2] for i in range(len(spelt) - 1)), key=lambda p: (self.known.get(p, 0), p))
 
     def _rows_with(self, pairs: list[str]) -> DataFrame:
-        """Index rows of the words that may have any of the pairs, and of all long words."""
-        roots = sorted({self._root(pair) for pair in pairs} | {""})
+        """Words that may have any of the pairs, each under one or more of the generation's own pairs or under none.
+
+        The condition has few forms, so that the plans of most rounds share their compiled code.
+        """
+        roots = sorted({self._root(pair) for pair in pairs})
+        if self.index is None:
+            some = "|".join("".join(f"\\x{{{ord(symbol):x}}}" for symbol in root) for root in roots)
+            return self.words.where(F.col("seq").rlike(some)).withColumn("pair", F.lit(""))
         # Single comparisons reach the files' statistics in any number; a long list would only do so as a range.
-        wanted = reduce(lambda a, b: a | b, (F.col("pair") == root for root in roots)) if len(roots) <= 256 else F.col("pair").isin(roots)
-        return self.index.where(wanted)
+        padding = [S.BREAK + str(i) for i in range((1 << len(roots).bit_length()) - len(roots) - 1)]
+        found = [F.col("pair") == root for root in ["", *roots, *padding]]
+        return self.index.where(reduce(lambda a, b: a | b, found) if len(found) <= 256 else F.col("pair").isin([*roots, ""]))
 
     def changes(self, picks: list[_Pick], next_id: int) -> tuple[list[list[tuple[str, int]]], int, int]:
         """For each merge the changes of the counts of pairs, if all before it were made; index rows read and words changed.
@@ -272,48 +309,84 @@ class _Generation:
                 read = row.n
             else:
                 changed = row.n
+        self.rounds, self.changed = self.rounds + 1, self.changed + changed
         return found, read, changed
 
 
 def _changes_task(pending: list[tuple[str, str]], merges: list[tuple[str, str]], roots: list[str]):
-    """Sums of the changes of pair counts per merge, for the index rows of one task."""
+    """Sums of the changes of pair counts per merge, for the words of one task."""
+    before = {root: roots[:i] for i, root in enumerate(roots)} | {"": []}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, str], int] = defaultdict(int)
+        sums: list[dict[str, int]] = [defaultdict(int) for _ in merges]
         read = changed = 0
         for batch in batches:
             read += batch.num_rows
             for key, seq, cnt in zip(*(column.to_pylist() for column in batch.columns)):
                 # A word that is listed under several of the pairs counts under the first one.
-                if key and next(root for root in roots if root in seq) != key:
+                if any(root in seq for root in before[key]):
                     continue
                 for pair, new in pending:
                     if pair in seq:
                         seq = seq.replace(pair, new)
-                before = seq
-                for step, (pair, new) in enumerate(merges):
+                found = False
+                for (pair, new), total in zip(merges, sums):
                     if pair in seq:
-                        after = seq.replace(pair, new)
-                        for changed_pair, n in pair_changes(seq, after, new):
-                            sums[step, changed_pair] += n * cnt
-                        seq = after
-                changed += seq is not before
-        sums[-1, ""], sums[-2, ""] = read, changed
-        keys = list(sums)
-        columns = [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys]), pa.array([sums[k] for k in keys], pa.int64())]
+                        found = True
+                        if len(seq) <= INDEXED_LENGTH:
+                            add_changes(total, seq, pair, new, cnt)
+                            seq = seq.replace(pair, new)
+                        else:
+                            after = seq.replace(pair, new)
+                            for changed_pair, n in long_changes(seq, after, new):
+                                total[changed_pair] += n * cnt
+                            seq = after
+                changed += found
+        rows = [(step, pair, n) for step, total in enumerate(sums) for pair, n in total.items() if n] + [(-1, "", read), (-2, "", changed)]
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), (pa.int32(), pa.string(), pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, names=["step", "pair", "n"])
 
     return task
 
 
-def pair_changes(before: str, after: str, new: str) -> Iterator[tuple[str, int]]:
-    """How a merge into the symbol ``new`` changes the pairs of one sequence: only pairs that touch a place of the merge."""
-    if len(before) <= INDEXED_LENGTH:
-        for i in range(len(before) - 1):
-            yield before[i : i + 2], -1
-        for i in range(len(after) - 1):
-            yield after[i : i + 2], 1
-        return
+def _long_pairs_task(first_seen: bool):
+    """Each pair of a long word once, with its count and, if asked for, its first place."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (seq, cnt) in enumerate(zip(batch.column("seq").to_pylist(), batch.column("cnt").to_pylist())):
+                symbols = np.frombuffer(seq.encode("utf-32-le"), "<u4").astype(np.uint64)
+                codes, places, counts = np.unique(symbols[:-1] << np.uint64(32) | symbols[1:], return_index=True, return_counts=True)
+                columns = [pa.array([chr(code >> 32) + chr(code & 0xFFFFFFFF) for code in codes.tolist()]), pa.array(counts * cnt, pa.int64())]
+                if first_seen:
+                    columns += [batch.column("first").take(pa.array(np.full(len(codes), i))), pa.array(places, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["pair", "n", *(["first", "off"] if first_seen else [])])
+
+    return task
+
+
+def add_changes(sums: dict[str, int], seq: str, pair: str, new: str, cnt: int) -> None:
+    """Add how a merge changes the pairs of one sequence: those that touch a place of the merge.
+
+    What stands between two places is one part; without it, the places touch.
+    """
+    first, second = pair
+    parts = seq.split(pair)
+    for i in range(1, len(parts)):
+        sums[pair] -= cnt
+        if left := parts[i - 1]:
+            sums[left[-1] + first] -= cnt
+            sums[left[-1] + new] += cnt
+        elif i > 1:
+            sums[second + first] -= cnt
+            sums[new + new] += cnt
+        if right := parts[i]:
+            sums[second + right[0]] -= cnt
+            sums[new + right[0]] += cnt
+
+
+def long_changes(before: str, after: str, new: str) -> Iterator[tuple[str, int]]:
+    """The same for a long sequence: pairs and how often they come or go."""
     old, now = (np.frombuffer(text.encode("utf-32-le"), "<u4") for text in (before, after))
     places = np.flatnonzero(now == ord(new))
     # Each merge before a place has made the sequence one symbol shorter.
@@ -326,6 +399,18 @@ def pair_changes(before: str, after: str, new: str) -> Iterator[tuple[str, int]]
             yield chr(code >> 32) + chr(code & 0xFFFFFFFF), n * count
 
 
+def _apart(best: list) -> list:
+    """Pairs in order without those that touch an earlier one: these lose occurrences to it and mostly fall behind."""
+    take, firsts, seconds = [], set(), set()
+    for row in best:
+        first, second = row.pair
+        if not take or first not in seconds and second not in firsts:
+            take.append(row)
+            firsts.add(first)
+            seconds.add(second)
+    return take
+
+
 def _independent_prefix(best: list) -> list:
     """Leading pairs that stay the next best ones whatever the earlier of them create.
 

@@ -1,4 +1,8 @@
+import random
+from collections import Counter
+
 import golden
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +96,70 @@ def test_batching_changes_nothing(spark, corpus):
     assert counts == sorted(counts, reverse=True)
 
 
+def recounted(before, after):
+    counts = Counter(after[i : i + 2] for i in range(len(after) - 1))
+    counts.subtract(before[i : i + 2] for i in range(len(before) - 1))
+    return {pair: n for pair, n in counts.items() if n}
+
+
+def test_changes_of_pairs_equal_a_recount():
+    pick = random.Random(4)
+    for _ in range(2000):
+        seq = "".join(pick.choice("aab") for _ in range(pick.randrange(2, 40)))
+        pair = pick.choice(["aa", "ab", "ba", "bb"])
+        after, sums = seq.replace(pair, "X"), Counter()
+        training.add_changes(sums, seq, pair, "X", 1)
+        assert {p: n for p, n in sums.items() if n} == recounted(seq, after)
+        sums = Counter()
+        for changed, n in training.long_changes(seq, after, "X"):
+            sums[changed] += n
+        assert {p: n for p, n in sums.items() if n} == recounted(seq, after)
+
+
+@pytest.mark.parametrize("first_seen", [False, True])
+def test_generations_and_index_change_nothing(spark, corpus, monkeypatch, first_seen):
+    """Few followed pairs, short generations and an index from the first small round on."""
+    some = corpus.where("doc_id < 12")
+    tie = {"tie": "first_seen", "order": "doc_id"} if first_seen else {}
+    for name, value in (("FOLLOWED", 300), ("GENERATION_MERGES", 9), ("INDEX_SHARE", 0), ("INDEXED_LENGTH", 9), ("LISTED_TIES", 5)):
+        monkeypatch.setattr(training, name, value)
+    found = training.train_bpe(some, 256 + 30, CHAT_PATTERN, **tie)
+    texts = [r.text for r in some.orderBy("doc_id").collect()]
+    assert as_tuples(found) == golden.train(texts, 30, CHAT_PATTERN, first_seen=first_seen)
+
+
+def test_a_round_reads_what_it_changes(spark, corpus, monkeypatch):
+    monkeypatch.setattr(training, "INDEX_SHARE", 0)
+    monkeypatch.setattr(training, "GENERATION_MERGES", 60)
+    rounds = []
+    training.train_on_chunks(pairs.chunk_counts(corpus, CHAT_PATTERN), 120, rounds=rounds)
+    words = pairs.chunk_counts(corpus, CHAT_PATTERN).count()
+    assert sum(r.made for r in rounds) == 120
+    late = [r for r in rounds[len(rounds) // 2 :]]
+    assert all(r.changed <= r.read for r in rounds) and sum(r.read for r in late) < len(late) * words
+
+
+def test_one_long_text(spark):
+    """A text of 10 MB, half of it one run, with merges across it."""
+    text = "a" * 5_000_000 + "abcab " * 833_333
+    docs = spark.createDataFrame([(0, text), (1, "abab")], "doc_id long, text string")
+    merges = training.train_bpe(docs, 256 + 8, None, tie="first_seen", order="doc_id")
+    expected, seqs = [], [text, "abab"]
+    for rank in range(8):
+        counts, first = Counter(), {}
+        for d, seq in enumerate(seqs):
+            codes = np.frombuffer(seq.encode("utf-32-le"), "<u4").astype("int64")
+            pairs_of, at, n = np.unique(codes[:-1] << 32 | codes[1:], return_index=True, return_counts=True)
+            for code, i, m in zip(pairs_of.tolist(), at.tolist(), n.tolist()):
+                pair = chr(code >> 32) + chr(code & 0xFFFFFFFF)
+                counts[pair] += m
+                first.setdefault(pair, (d, i))
+        pair = min(counts, key=lambda p: (-counts[p], first[p]))
+        expected.append((S.token_id(pair[0]), S.token_id(pair[1]), 256 + rank, counts[pair]))
+        seqs = [seq.replace(pair, S.symbol(256 + rank)) for seq in seqs]
+    assert as_tuples(merges) == expected
+
+
 def test_prefix_stops_at_touching_pairs():
     class Row:
         def __init__(self, pair, n, bound):
