@@ -7,7 +7,7 @@ on any range of integers; values that fall outside are permuted again until they
 Kinds: e-mail addresses, IPv4 addresses, phone numbers, payment cards (Luhn) and other runs of 13 to 19 digits,
 IBANs (modulo 97), social security numbers, dates (also with a time after a T), and hexadecimal secrets of 32 digits and
 more. Where digit groups follow each other, a card among them is found by its check digit: groups of the sizes usual for
-cards, or else the longest run of whole groups.
+cards, or else the longest run of whole groups. Only the ASCII digits count as digits. Work grows in proportion to the text, blanks or none.
 Null stays null, an empty text stays empty, and a text without such data is returned unchanged.
 """
 
@@ -15,7 +15,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from datetime import date
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,38 +32,75 @@ MARGIN = 64
 FOUND_TYPE = "struct<text:string,n_found:bigint>"
 
 SPOT = re.compile(r"[0-9@]|[0-9a-fA-F]{32}")
+#: An address has a local part of up to 64 characters; the last ones count. A label of its domain has up to 63 letters, the domain up to 255.
+LOCAL_PART, DOMAIN_PART = 64, 255
+LOCAL_CHAR, WORD_CHAR = re.compile(r"[\w.+%-]"), re.compile(r"\w")
+DOMAIN = re.compile(r"@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,}")
+#: All other kinds. Every quantifier is bounded, or follows the edge of a word, so a search takes time in proportion to the text.
 PATTERN = re.compile(
-    r"(?P<email>[\w.+%-]*\w@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,})"
-    r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))"
-    r"|(?P<date>(?<![\w/.-])(?:\d{4}-\d\d-\d\d|\d\d?/\d\d?/\d{4}|\d\d?\.\d\d?\.\d{4})(?!(?![Tt]\d\d)[\w/-]|\.\d))"
-    r"|(?P<ssn>(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-]))"
-    r"|(?P<iban>(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w))"
-    r"|(?P<secret>(?<!\w)(?=[a-f]*\d)[0-9a-f]{32,}(?!\w)|(?<!\w)(?=[A-F]*\d)[0-9A-F]{32,}(?!\w))"
-    r"|(?P<number>(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w))"
-    r"|(?P<phone>(?<!\w)(?:\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w|\.\d))"
+    r"(?P<ip>(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.[0-9]))"
+    r"|(?P<date>(?<![\w/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?!(?![Tt][0-9]{2})[\w/-]|\.[0-9]))"
+    r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]))"
+    r"|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w))"
+    r"|(?P<secret>(?<!\w)(?=[a-f]*[0-9])[0-9a-f]{32,}(?!\w)|(?<!\w)(?=[A-F]*[0-9])[0-9A-F]{32,}(?!\w))"
+    r"|(?P<number>(?<![\w.])[0-9](?:[ -]?[0-9]){12,18}(?!\w))"
+    r"|(?P<phone>(?<!\w)(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
+    r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?!\w|\.[0-9]))"
 )
-GROUPS, GROUP = re.compile(r"\d(?:[ -]?\d)*"), re.compile(r"\d+")
-CARD = re.compile(r"(?P<number>\d(?:[ -]?\d){12,18})")
+GROUPS, GROUP = re.compile(r"[0-9](?:[ -]?[0-9])*"), re.compile(r"[0-9]+")
+CARD_WINDOW = 192
 #: Sizes of the groups in which cards are usually written.
 CARD_SHAPES = frozenset(((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)))
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-class Values:
-    """What ``PATTERN`` finds, with cards told apart from the numbers beside them."""
+class Value(NamedTuple):
+    """A place in a text and the kind of value there."""
 
-    def finditer(self, text: str, low: int = 0, high: int | None = None):
-        high = len(text) if high is None else high
-        while match := PATTERN.search(text, low, high):
-            place = card_place(text, match.start(), high) if match.lastgroup == "number" else None
-            if place:
-                yield from self.finditer(text, match.start(), place[0])
-                match = CARD.match(text, *place)
-            yield match
-            low = match.end()
+    kind: str
+    begin: int
+    end: int
 
 
-VALUE = Values()
+def next_email(text: str, low: int, high: int) -> Value | None:
+    """The first address in a part of a text, found from its ``@``."""
+    at = text.find("@", low, high)
+    while at >= 0:
+        begin = at
+        if at > low and WORD_CHAR.match(text, at - 1) and (domain := DOMAIN.match(text, at, min(high, at + 1 + DOMAIN_PART))):
+            while begin > max(low, at - LOCAL_PART) and LOCAL_CHAR.match(text, begin - 1):
+                begin -= 1
+            return Value("email", begin, domain.end())
+        at = text.find("@", at + 1, high)
+    return None
+
+
+def next_other(text: str, low: int, high: int) -> Value | None:
+    match = PATTERN.search(text, low, high)
+    return match and Value(match.lastgroup, *match.span())
+
+
+def find_values(text: str, low: int = 0, high: int | None = None, clear: int = 0) -> Iterator[Value]:
+    """All values, the leftmost first, with cards told apart from the numbers beside them. No card begins before ``clear``."""
+    high = len(text) if high is None else high
+    email, other = next_email(text, low, high), next_other(text, low, high)
+    while email or other:
+        if email and (not other or email.begin <= other.begin):
+            found = email
+        else:
+            found = other
+            place = None
+            if other.kind == "number":
+                while not place and other.end > clear:
+                    place, clear = card_place(text, max(other.begin, clear), high)
+                if place:
+                    yield from find_values(text, other.begin, place[0], clear)
+                    found = Value("number", *place)
+        yield found
+        if email and email.begin < found.end:
+            email = next_email(text, found.end, high)
+        if other and other.begin < found.end:
+            other = next_other(text, found.end, high)
 
 
 class Pseudonyms:
@@ -77,11 +118,10 @@ class Pseudonyms:
         while True:
             left, right = value >> width, value & half
             for turn in range(ROUNDS):
-                said = f"{kind}|{size}|{turn}|{right}".encode()
-                noise, more = b"", 0
-                while len(noise) * 8 < width + 64:
-                    noise += hashlib.blake2b(said + bytes([more]), key=self.key, digest_size=32).digest()
-                    more += 1
+                # Hexadecimal: it takes time in proportion to the number of digits.
+                said = f"{kind}|{size:x}|{turn}|{right:x}".encode()
+                seed = hashlib.blake2b(said, key=self.key, digest_size=32).digest()
+                noise = hashlib.shake_256(seed).digest((width + 64 + 7) // 8)
                 left, right = right, left ^ (int.from_bytes(noise, "big") & half)
             value = left << width | right
             if value < size:
@@ -89,6 +129,9 @@ class Pseudonyms:
 
     def digits(self, text: str, kind: str, alphabet: str = DIGITS) -> str:
         n, base, value = len(text), len(alphabet), 0
+        if base == 16:
+            value = self.permute(int(text, 16), 1 << 4 * n, kind)
+            return f"{value:0{n}{'X' if 'A' in alphabet else 'x'}}"
         for c in text:
             value = value * base + alphabet.index(c)
         value, out = self.permute(value, base**n, kind), []
@@ -190,11 +233,11 @@ class Pseudonyms:
         """The text with pseudonyms, and how many values were replaced."""
         out, done, found = [], 0, 0
         for low, high in stretches(text):
-            for match in VALUE.finditer(text, low, high):
-                new = getattr(self, match.lastgroup)(match.group())
+            for kind, begin, end in find_values(text, low, high):
+                new = getattr(self, kind)(text[begin:end])
                 if new is not None:
-                    out += text[done : match.start()], new
-                    done, found = match.end(), found + 1
+                    out += text[done:begin], new
+                    done, found = end, found + 1
         return ("".join(out) + text[done:], found) if found else (text, 0)
 
 
@@ -203,24 +246,40 @@ def luhn(digits: list[str]) -> int:
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10
 
 
-def card_place(text: str, low: int, high: int) -> tuple[int, int] | None:
-    """The first card among the digit groups that begin at ``low``."""
-    end = GROUPS.match(text, low, high).end()
+def card_place(text: str, low: int, high: int) -> tuple[tuple[int, int] | None, int]:
+    """The first card among the digit groups that begin at ``low``, and a place before which no card begins.
+
+    Check sums of runs are differences of two running sums, one for each way to weigh every other digit. Only ``CARD_WINDOW``
+    characters are looked at: if groups go on behind them, the last ones are left for the next look.
+    """
+    limit = min(high, low + CARD_WINDOW)
+    end = GROUPS.match(text, low, limit).end()
     groups = [m.span() for m in GROUP.finditer(text, low, end)]
-    if end < high and (text[end].isalnum() or text[end] == "_"):
+    cut = end >= limit - 1 and limit < high and groups[-1][1] - groups[-1][0] < 20
+    if cut or groups[-1][1] - groups[-1][0] >= 20 or end < high and (text[end].isalnum() or text[end] == "_"):
         groups.pop()
+    starts = [0, *accumulate(b - a for a, b in groups)]
+    digits = [int(c) for a, b in groups for c in text[a:b]]
+    sums = [[0, *accumulate(d if i % 2 == parity else sum(divmod(2 * d, 10)) for i, d in enumerate(digits))] for parity in (0, 1)]
 
-    def valid(some: list[tuple[int, int]]) -> bool:
-        return 13 <= sum(b - a for a, b in some) <= 19 and luhn([c for a, b in some for c in text[a:b]]) == 0
+    def valid(first: int, last: int) -> bool:
+        a, b = starts[first], starts[last]
+        weighed = sums[(b - 1) % 2]
+        return 13 <= b - a <= 19 and (weighed[b] - weighed[a]) % 10 == 0
 
     for first in range(len(groups)):
-        # A run of 19 digits has 19 groups at most.
-        for last in range(min(len(groups), first + 19), first, -1):
-            if valid(groups[first:last]):
-                usual = (groups[a:b] for a in range(first, last) for b in range(a + 1, min(len(groups), a + 5) + 1))
-                run = next((some for some in usual if (len(some) == 1 or tuple(b - a for a, b in some) in CARD_SHAPES) and valid(some)), groups[first:last])
-                return run[0][0], run[-1][1]
-    return None
+        # A card and the usual ones beside it end within 40 digits.
+        if cut and first and starts[-1] - starts[first] < 40:
+            return None, groups[first][0]
+        # Groups have a digit or more, so few runs have 13 to 19 digits.
+        least, most = bisect_left(starts, starts[first] + 13), bisect_right(starts, starts[first] + 19) - 1
+        for last in range(most, least - 1, -1):
+            if valid(first, last):
+                usual = ((a, b) for a in range(first, last) for b in range(a + 1, min(len(groups), a + 5) + 1))
+                shape = lambda a, b: tuple(y - x for x, y in groups[a:b])
+                run = next(((a, b) for a, b in usual if (b - a == 1 or shape(a, b) in CARD_SHAPES) and valid(a, b)), (first, last))
+                return (groups[run[0]][0], groups[run[1] - 1][1]), groups[first][0]
+    return None, end
 
 
 def mod97(text: str) -> int:

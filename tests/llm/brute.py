@@ -230,3 +230,36 @@ def repair_report(rows):
         cost, audit, lines = cheapest_repair(turns)
         out.append((conv, gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(lines).encode())))
     return sorted(out, key=str)
+
+
+ADDRESS = r"(?P<email>[\w.+%-]{0,63}\w@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,})|"
+
+
+def personal_values(text, low=0, high=None):
+    """Kind, begin and end of each value, by one search after the other over the whole rest of the text."""
+    from corpusloom.llm.pseudonyms import CARD_SHAPES, PATTERN
+
+    high = len(text) if high is None else high
+    plain = re.compile(ADDRESS + PATTERN.pattern)
+    while match := plain.search(text, low, high):
+        begin, end = match.span()
+        if match.lastgroup == "number":
+            run = re.compile(r"[0-9](?:[ -]?[0-9])*").match(text, begin, high)
+            groups = [m.span() for m in re.compile("[0-9]+").finditer(text, begin, run.end())]
+            if run.end() < high and re.match(r"\w", text[run.end()]):
+                groups.pop()
+
+            def valid(some):
+                digits = [int(c) for a, b in some for c in text[a:b]]
+                return 13 <= len(digits) <= 19 and sum(sum(divmod(d * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+            runs = [(first, last) for first in range(len(groups)) for last in range(len(groups), first, -1) if valid(groups[first:last])]
+            if runs:
+                first, last = runs[0]
+                usual = [(a, b) for a in range(first, last) for b in range(a + 1, len(groups) + 1) if b - a <= 5 and valid(groups[a:b])]
+                usual = [(a, b) for a, b in usual if b - a == 1 or tuple(y - x for x, y in groups[a:b]) in CARD_SHAPES]
+                first, last = usual[0] if usual else runs[0]
+                yield from personal_values(text, begin, groups[first][0])
+                begin, end = groups[first][0], groups[last - 1][1]
+        yield match.lastgroup, begin, end
+        low = end

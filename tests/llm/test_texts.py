@@ -1,6 +1,7 @@
 """Operators that work on each text by itself."""
 
 import random
+import time
 
 import brute
 import pytest
@@ -187,7 +188,7 @@ def test_stretches_cover_all_values():
     values = ["a@b.example.com", "10.20.30.40", "+1 (017) 555-7713", "5927243074273351", "2020-01-31"]
     for trial in range(200):
         text = "".join(pick.choice(["word ", "long" * 30 + " ", *(v + " " for v in values)]) for _ in range(40))
-        assert names.replace(text)[1] == sum(1 for m in pseudonyms.VALUE.finditer(text))
+        assert names.replace(text)[1] == sum(1 for m in pseudonyms.find_values(text))
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href="/x">Home</a></li></ul></nav>
@@ -302,3 +303,36 @@ def test_toxicity_without_labels(spark, odd, none):
     for docs in (odd, none):
         model = toxicity.fit(docs, labels)
         assert all(r[0] == pytest.approx(0.1) for r in odd.select(model.score("text")).collect())
+
+
+def test_values_equal_a_plain_search():
+    """One expression over the whole text, and cards by trying every run of groups."""
+    pick = random.Random(8)
+    parts = ["a", "x1", "@", ".", "-", "+1", " ", "4111 1111 1111 1111", "4111111111111111", "12", "1", "555-123-4567", "2024-01-05", "é", "b.example.org", "10.0.0.1", "T1", "DE89370400440532013000", "0f" * 16, "٤", "_"]
+    for trial in range(3000):
+        text = "".join(pick.choice(parts) for _ in range(pick.randrange(14)))
+        assert [tuple(v) for v in pseudonyms.find_values(text)] == list(brute.personal_values(text)), text
+
+
+@pytest.mark.parametrize("part", ["x1", "a1.", "a@", "@", "1 ", "1", "0f", "a-", "a1@b-", "12 34-", "AB12 ", "4111 1111 1111 1112 ", "(1"])
+def test_pseudonyms_take_time_in_proportion(part):
+    names = pseudonyms.Pseudonyms(KEY)
+    began = time.perf_counter()
+    names.replace(part * (1_000_000 // len(part)))
+    assert time.perf_counter() - began < 20
+
+
+def test_only_ascii_digits_count():
+    names = pseudonyms.Pseudonyms(KEY)
+    for digit in "\u0661\u06f1\u0967\uff11\u00b2\U0001d7d9":
+        for text in (f"call 1 {digit * 16} x", f"4111 1111 1111 111{digit}", f"{digit * 4}-01-05", f"{digit}10.0.0.1", f"{digit * 3}-45-6789", f"a{digit}@b.org"):
+            names.replace(text)
+    assert names.replace("call 1 \u0664\u0661\u0661\u0661\u0661\u0661\u0661\u0661\u0661\u0661\u0661\u0661\u0661\u0661\u0661\u0661 x") == ("call 1 " + "\u0664" + "\u0661" * 15 + " x", 0)
+
+
+def test_long_secrets_and_addresses():
+    names = pseudonyms.Pseudonyms(KEY)
+    new, n = names.replace("0F" * 50_000)
+    assert n == 1 and len(new) == 100_000 and set(new) <= set("0123456789ABCDEF") and new != "0F" * 50_000
+    new, n = names.replace("x" * 100 + "@mail.example.org")
+    assert n == 1 and new[:36] == "x" * 36 and new.endswith(".org") and len(new) == 117
