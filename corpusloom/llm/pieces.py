@@ -26,7 +26,7 @@ from corpusloom.llm.flat import mix, ranges
 MARK = "▁"
 WORD = re.compile(r" *[^ ]+| +")
 #: Distinct words a task remembers, and the code points of those it searches at once.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 SEARCH_POINTS = 1 << 18
 UNKNOWN_PENALTY = 10.0
 SEEN_SHIFT = np.uint64(43)
@@ -193,7 +193,7 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=missing)
 
 
-def text_parts(texts: pa.Array, limit: int = 1 << 20):
+def text_parts(texts: pa.Array, limit: int = 1 << 22):
     """The texts in lists of about ``limit`` code points."""
     part, size = [], 0
     for text in texts:
