@@ -1,9 +1,11 @@
 """Operators that work on each text by itself."""
 
+import math
 import random
 import time
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,6 +278,33 @@ def test_top_k(spark):
     assert topk.top_k(few, few).groupBy("query_id").count().where("count = 2").count() == 3
 
 
+def test_top_k_of_large_components_and_repeated_rows(spark):
+    """Sums beyond 2**53 are exact, and rows that repeat one id and vector are dealt to all blocks."""
+    pick, rows = random.Random(9), []
+    for i in range(60):
+        rows.append((i, [float(pick.choice([-1, 1]) * pick.randrange(1 << 21)) / 256 * 2.0 ** pick.choice([0, 8]) for _ in range(12)]))
+    rows += [(7, [2.0**22] * 12)] * 500 + [(8, [float(2**22 - 1)] * 1024), (50, [float(2**22 - 1)] * 1024)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in topk.top_k(vectors, vectors.where("vec_id = 7 or vec_id = 50")).orderBy("query_id", "rank", "vec_id").collect()]
+    stored, expected = [(i, [math.floor(256 * x) for x in v]) for i, v in rows], []
+    for query in (7, 50):
+        mine = min(v for i, v in stored if i == query)
+        scored = sorted((-sum(a * b for a, b in zip(mine, v)), i) for i, v in stored if i != query)[:5]
+        expected += [(query, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+    assert sorted(found) == sorted(expected)
+
+
+def test_blocks_of_top_k():
+    for seed in range(200):
+        pick = np.random.default_rng(seed)
+        n, dims, k = pick.integers(1, 80), pick.integers(1, 6), pick.integers(1, 7)
+        values, query = pick.integers(-4, 5, (n, dims)).astype(float), pick.integers(-3, 4, dims).astype(float)
+        ids = pick.integers(0, 60, n)
+        found = topk.SortedLists(ids, values).best(5, query, k)
+        expected = sorted((-s, i) for i, s in zip(ids.tolist(), (values @ query).tolist()) if i != 5)[:k]
+        assert [(-s, i) for i, s in zip(*(x.tolist() for x in found))] == expected
+
+
 def test_toxicity(spark, odd, none):
     pick = random.Random(4)
     rows, labels = [], []
