@@ -38,6 +38,8 @@ BUCKET = 4_000_000
 SENT_IDS = 1_000_000
 #: Words of 64 bits in a sketch, whose bit i is the parity of the shingles that fall on it; the wide one folds into the other.
 SKETCH, WIDE = 16, 64
+#: Sets whose sketches are counted at a time.
+SKETCHED = 2048
 
 
 def shingle_sets(data: np.ndarray, where: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +112,14 @@ def digests(keys: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
     return mix(sums[ends[1:]] - sums[ends[:-1]] + np.diff(ends).astype(np.uint64))
 
 
+def parities(places: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each set the parity of the elements at every place, as bits: one byte per place and set while they are counted."""
+    rows = len(ends) - 1
+    bits = np.zeros((rows, 64 * WIDE), np.uint8)
+    np.add.at(bits, (np.repeat(np.arange(rows), np.diff(ends)), places[ends[0] : ends[-1]]), 1)
+    return np.packbits(bits & 1, axis=1).view(np.int64)
+
+
 def described(docs: DataFrame, size: int) -> DataFrame:
     """Size, digest and sketch of the set of each row."""
 
@@ -117,9 +127,8 @@ def described(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             for some, data, where in slices(batch, "text"):
                 keys, ends = shingle_sets(data, where, size)
-                bits = np.zeros((some.num_rows, 64 * WIDE), np.uint8)
-                np.add.at(bits, (np.repeat(np.arange(some.num_rows), np.diff(ends)), (mix(keys ^ np.uint64(3)) % np.uint64(64 * WIDE)).astype(np.int64)), 1)
-                wide = np.packbits(bits & 1, axis=1).view(np.int64)
+                places = (mix(keys ^ np.uint64(3)) % np.uint64(64 * WIDE)).astype(np.int64)
+                wide = np.concatenate([parities(places, ends[a : a + SKETCHED + 1]) for a in range(0, some.num_rows, SKETCHED)])
                 folded = np.bitwise_xor.reduce(wide.reshape(some.num_rows, WIDE // SKETCH, SKETCH), axis=1)
                 lists = [pa.ListArray.from_arrays(pa.array(np.arange(some.num_rows + 1) * size, pa.int32()), pa.array(words.ravel())) for size, words in ((SKETCH, folded), (WIDE, wide))]
                 yield pa.record_batch([some.column("doc"), pa.array(np.diff(ends)), *(pa.array(digests(keys, ends, salt).view(np.int64)) for salt in (1, 2)), *lists], ["doc", "n_shingles", "digest1", "digest2", "sketch", "wide"])
@@ -195,36 +204,43 @@ def grouped(rows: DataFrame) -> DataFrame:
     """Candidate pairs (kind 0) and members of large groups (kind 1) from the buckets."""
 
     def group(batches):
-        blobs: dict[int, list[tuple[bytes, bytes, bytes]]] = {}
+        bucket, blobs = None, []
         for batch in batches:
-            kind = batch.column("kind").to_numpy()
-            for row in batch.filter(pa.array(kind == 1)).to_pylist():
-                yield from two(1, np.stack([np.frombuffer(row["signatures"], np.int64), np.frombuffer(row["docs"], np.int64)], axis=1))
-            for row in batch.filter(pa.array(kind == 2)).to_pylist():
-                blobs.setdefault(row["bucket"], []).append((row["signatures"], row["docs"], row["hot"]))
-        for bucket in list(blobs):
-            some = blobs.pop(bucket)
-            keys = np.concatenate([np.frombuffer(s, np.uint32) for s, _, _ in some])
-            docs = np.concatenate([np.cumsum(np.frombuffer(d, np.int64)) for _, d, _ in some])
-            hot = np.concatenate([np.unpackbits(np.frombuffer(h, np.uint8), count=len(s) // 4).astype(bool) for s, _, h in some])
-            order = np.lexsort((docs, keys))
-            keys, docs, hot = keys[order], docs[order], hot[order]
-            begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            count = np.diff(np.append(begins, len(keys)))
-            large = (count > SMALL) | np.logical_or.reduceat(hot, begins)
-            found = []
-            for distance in range(1, SMALL):
-                # The pairs of small groups, by the distance of their members.
-                wide = ~large & (count > distance)
-                first = ranges(begins[wide], count[wide] - distance)
-                found.append(np.stack([docs[first], docs[first + distance]], axis=1))
-            pairs = np.unique(np.concatenate(found), axis=0)
-            yield from two(0, pairs[pairs[:, 0] != pairs[:, 1]])
-            members = ranges(begins[large], count[large])
-            yield from two(1, np.stack([group_ids(keys[members], bucket), docs[members]], axis=1))
-
-    # Whole buckets: all rows of one have the same number.
-    return rows.repartition("bucket").mapInArrow(group, "kind int, a long, b long")
+            for row in batch.to_pylist():
+                if row["kind"] == 1:
+                    yield from two(1, np.stack([np.frombuffer(row["signatures"], np.int64), np.frombuffer(row["docs"], np.int64)], axis=1))
+                    continue
+                if blobs and row["bucket"] != bucket:
+                    yield from judged(bucket, blobs)
+                    blobs = []
+                bucket = row["bucket"]
+                blobs.append((row["signatures"], row["docs"], row["hot"]))
+        if blobs:
+            yield from judged(bucket, blobs)
+        pa.default_memory_pool().release_unused()
+
+    def judged(bucket, some):
+        keys = np.concatenate([np.frombuffer(s, np.uint32) for s, _, _ in some])
+        docs = np.concatenate([np.cumsum(np.frombuffer(d, np.int64)) for _, d, _ in some])
+        hot = np.concatenate([np.unpackbits(np.frombuffer(h, np.uint8), count=len(s) // 4).astype(bool) for s, _, h in some])
+        order = np.lexsort((docs, keys))
+        keys, docs, hot = keys[order], docs[order], hot[order]
+        begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        count = np.diff(np.append(begins, len(keys)))
+        large = (count > SMALL) | np.logical_or.reduceat(hot, begins)
+        found = []
+        for distance in range(1, SMALL):
+            # The pairs of small groups, by the distance of their members.
+            wide = ~large & (count > distance)
+            first = ranges(begins[wide], count[wide] - distance)
+            found.append(np.stack([docs[first], docs[first + distance]], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield from two(0, pairs[pairs[:, 0] != pairs[:, 1]])
+        members = ranges(begins[large], count[large])
+        yield from two(1, np.stack([group_ids(keys[members], bucket), docs[members]], axis=1))
+
+    # Whole buckets, one after the other: a task holds one at a time.
+    return rows.repartition("bucket").sortWithinPartitions("kind", "bucket").mapInArrow(group, "kind int, a long, b long")
 
 
 def two(kind: int, pairs: np.ndarray):
