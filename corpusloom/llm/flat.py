@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,14 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_CODES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on from stage to stage and keeps what its largest task needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts in a row, and where each begins (one more at the end). Null is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

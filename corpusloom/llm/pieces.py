@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.llm.flat import mix, ranges
+from corpusloom.llm.flat import give_back, mix, ranges
 
 MARK = "▁"
 WORD = re.compile(r" *[^ ]+| +")
 #: Distinct words a task remembers, and the code points of those it searches at once.
-CACHE_WORDS = 500_000
-SEARCH_POINTS = 1 << 18
+CACHE_WORDS = 300_000
+SEARCH_POINTS = 1 << 17
 UNKNOWN_PENALTY = 10.0
 SEEN_SHIFT = np.uint64(43)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -193,7 +193,7 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=missing)
 
 
-def text_parts(texts: pa.Array, limit: int = 1 << 22):
+def text_parts(texts: pa.Array, limit: int = 1 << 21):
     """The texts in lists of about ``limit`` code points."""
     part, size = [], 0
     for text in texts:
@@ -211,7 +211,9 @@ def encode(text: Column | str, model: PieceModel) -> Column:
     encoder = Encoder(model)
 
     def encoded(texts: pa.Array) -> pa.Array:
-        return pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *map(encoder.encode, text_parts(texts))])
+        found = pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *map(encoder.encode, text_parts(texts))])
+        give_back()
+        return found
 
     return F.arrow_udf(encoded, "array<int>")(text)
 

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.flat import give_back
+
 ROUNDS = 8
 #: Text on either side of a digit or @ in which a value is looked for; it is widened to the next blank.
 MARGIN = 64
@@ -321,7 +323,9 @@ def pseudonymized(text: Column | str, key: bytes) -> Column:
 
     def replaced(texts: pa.Array) -> pa.Array:
         rows = [(None, 0) if t is None else names.replace(t) for t in texts.to_pylist()]
-        return pa.StructArray.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["text", "n_found"])
+        found = pa.StructArray.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["text", "n_found"])
+        give_back()
+        return found
 
     return F.arrow_udf(replaced, FOUND_TYPE)(text)
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
-from corpusloom.llm.flat import LOWER, gram_hashes, mix, prefix_sums, range_hash, ranges, slices, word_hashes, words
+from corpusloom.llm.flat import LOWER, give_back, gram_hashes, mix, prefix_sums, range_hash, ranges, slices, word_hashes, words
 from corpusloom.session import materialize, width
 
 #: Words of a shingle, and the similarity from which documents link, in hundredths.
@@ -132,6 +132,7 @@ def described(docs: DataFrame, size: int) -> DataFrame:
                 folded = np.bitwise_xor.reduce(wide.reshape(some.num_rows, WIDE // SKETCH, SKETCH), axis=1)
                 lists = [pa.ListArray.from_arrays(pa.array(np.arange(some.num_rows + 1) * size, pa.int32()), pa.array(words.ravel())) for size, words in ((SKETCH, folded), (WIDE, wide))]
                 yield pa.record_batch([some.column("doc"), pa.array(np.diff(ends)), *(pa.array(digests(keys, ends, salt).view(np.int64)) for salt in (1, 2)), *lists], ["doc", "n_shingles", "digest1", "digest2", "sketch", "wide"])
+        give_back()
 
     return docs.mapInArrow(describe, "doc long, n_shingles long, digest1 long, digest2 long, sketch array<long>, wide array<long>")
 
@@ -196,6 +197,7 @@ def packed(docs: DataFrame, size: int, percent: int, buckets: int) -> DataFrame:
                     [pa.array(np.full(n, 2, np.int32)), pa.array(names.astype(np.int64))] + [pa.array([p[j] for p in parts], pa.binary()) for j in range(3)],
                     NAMES,
                 )
+        give_back()
 
     return docs.where("doc is not null").mapInArrow(pack, KINDS)
 
@@ -217,7 +219,7 @@ def grouped(rows: DataFrame) -> DataFrame:
                 blobs.append((row["signatures"], row["docs"], row["hot"]))
         if blobs:
             yield from judged(bucket, blobs)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def judged(bucket, some):
         keys = np.concatenate([np.frombuffer(s, np.uint32) for s, _, _ in some])
@@ -258,6 +260,7 @@ def set_table(docs: DataFrame, size: int) -> DataFrame:
                 keys, ends = shingle_sets(data, where, size)
                 shingles = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64)))
                 yield pa.record_batch([some.column("doc"), shingles], ["doc", "shingles"])
+        give_back()
 
     return docs.mapInArrow(keep, "doc long, shingles array<long>")
 
