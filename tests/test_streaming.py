@@ -60,3 +60,15 @@ def test_late_keys_are_packed(spark):
     assert encoding.pack_new(spark, frame(doc(3, 5)), state, out, 1, 4) == 4
     rows = encoding.packed(spark, out, state).orderBy("batch_id").collect()
     assert [(r.batch_id, r.inputs, r.targets) for r in rows] == [(0, [5] * 4, [5] * 4), (1, [5, 3, 3, 3], [3, 3, 3, 3])]
+
+
+def test_a_stream_reads_a_table_that_is_a_folder(spark, corpus):
+    """Tables may be a file or a folder of files."""
+    from corpusloom.catalog import streams
+
+    folder = scratch_path(spark, "tables")
+    corpus.limit(20).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    expected = chunk_counts(spark.read.parquet(f"{folder}/documents.parquet"), CHAT_PATTERN)
+    counted = streams.h1_stream_chunk_counts(spark, folder)
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, expected.collect()))
+    assert streams.h2_stream_encode(spark, folder).count() == 20
