@@ -13,7 +13,7 @@ the followed ones when the generation began stay behind, and a new pair is follo
 from __future__ import annotations
 
 import sys
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -37,10 +37,15 @@ ROUND_MERGES = 64
 GENERATION_MERGES = 96
 # Longer words are not listed by their pairs, but looked at in every round.
 INDEXED_LENGTH = 64
+# Long words are joined to strings of so many symbols, and counted densely if these have so many different ones.
+JOINED_LENGTH = 1 << 20
+DENSE_SYMBOLS = 1 << 10
 # A generation is indexed when a round of the one before changed less than one word in so many.
 INDEX_SHARE = 16
 # Equally frequent pairs whose first places one job compares.
 LISTED_TIES = 1 << 10
+# What is shipped to the tasks names no module of this package.
+BREAK = S.BREAK
 
 
 @dataclass(frozen=True)
@@ -194,14 +199,14 @@ class _Generation:
             return counts.orderBy(F.desc("n"), "place").select("pair", "n").limit(FOLLOWED + 1)
         return P.best_pairs(counts, FOLLOWED + 1)
 
-    def _pairs_of(self, rows: DataFrame) -> DataFrame:
-        """``(pair, n)`` and, if asked for, the first ``place`` of each pair in some words."""
+    def _pairs_of(self, rows: DataFrame, wanted: list[str] | None = None) -> DataFrame:
+        """``(pair, n)`` and, if asked for, the first ``place`` of each pair in some words; of long words, only of wanted pairs."""
         short = P.explode_pairs(rows.where(F.length("seq") <= INDEXED_LENGTH), "seq", *self.keep).withColumnRenamed("cnt", "n")
         columns = ["pair", "n", *(["first", "off"] if self.first_seen else [])]
         short = short.select(*columns)
         # Cutting a long sequence at a place takes as long as reaching it: these are read in one go.
         long = rows.where(F.length("seq") > INDEXED_LENGTH).select("seq", *self.keep)
-        both = short.unionByName(long.mapInArrow(_long_pairs_task(self.first_seen), short.schema))
+        both = short.unionByName(long.mapInArrow(_long_pairs_task(self.first_seen, wanted), short.schema))
         place = [F.min(F.struct("first", "off")).alias("place")] if self.first_seen else []
         return both.groupBy("pair").agg(F.sum("n").alias("n"), *place)
 
@@ -235,14 +240,17 @@ class _Generation:
         least = picks[-1].n
         ties = [pair for pair, n in self.counts.items() if n == least]
         picks = [pick for pick in picks if pick.n > least] + ([_Pick(pair, least) for pair in ties] if len(ties) <= LISTED_TIES else [])
-        order = self._first_places([pick.pair for pick in picks]) if picks else {}
-        self.listed = {pick.pair: (pick.n, order[pick.pair]) for pick in picks}
-        return sorted(picks, key=lambda pick: (-pick.n, order[pick.pair]))
+        # Where no other pair is as frequent, the count says it all.
+        alike = Counter(pick.n for pick in picks)
+        tied = [pick for pick in picks if alike[pick.n] > 1]
+        order = self._first_places([pick.pair for pick in tied]) if tied else {}
+        self.listed = {pick.pair: (pick.n, order[pick.pair]) for pick in tied}
+        return sorted(picks, key=lambda pick: (-pick.n, order.get(pick.pair, 0)))
 
     def _first_places(self, pairs: list[str]) -> dict[str, int]:
         """The order in which pairs occur first."""
         rows = self._rows_with(pairs).withColumn("seq", self._current())
-        places = self._pairs_of(rows).where(F.col("pair").isin(pairs)).orderBy("place")
+        places = self._pairs_of(rows, pairs).where(F.col("pair").isin(pairs)).orderBy("place")
         return {row.pair: i for i, row in enumerate(places.select("pair").collect())}
 
     def leads(self, pair: str) -> bool:
@@ -284,7 +292,9 @@ class _Generation:
         roots = sorted({self._root(pair) for pair in pairs})
         if self.index is None:
             some = "|".join("".join(f"\\x{{{ord(symbol):x}}}" for symbol in root) for root in roots)
-            return self.words.where(F.col("seq").rlike(some)).withColumn("pair", F.lit(""))
+            # Nearly every long word has one of the pairs: looking for them would cost more than reading it.
+            likely = (F.length("seq") > INDEXED_LENGTH) | F.col("seq").rlike(some)
+            return self.words.where(likely).withColumn("pair", F.lit(""))
         # Single comparisons reach the files' statistics in any number; a long list would only do so as a range.
         padding = [S.BREAK + str(i) for i in range((1 << len(roots).bit_length()) - len(roots) - 1)]
         found = [F.col("pair") == root for root in ["", *roots, *padding]]
@@ -322,7 +332,11 @@ def _changes_task(pending: list[tuple[str, str]], merges: list[tuple[str, str]],
         read = changed = 0
         for batch in batches:
             read += batch.num_rows
+            long: list[tuple[int, str]] = []
             for key, seq, cnt in zip(*(column.to_pylist() for column in batch.columns)):
+                if len(seq) > INDEXED_LENGTH:
+                    long.append((cnt, seq))
+                    continue
                 # A word that is listed under several of the pairs counts under the first one.
                 if any(root in seq for root in before[key]):
                     continue
@@ -333,15 +347,22 @@ def _changes_task(pending: list[tuple[str, str]], merges: list[tuple[str, str]],
                 for (pair, new), total in zip(merges, sums):
                     if pair in seq:
                         found = True
-                        if len(seq) <= INDEXED_LENGTH:
-                            add_changes(total, seq, pair, new, cnt)
-                            seq = seq.replace(pair, new)
-                        else:
-                            after = seq.replace(pair, new)
-                            for changed_pair, n in long_changes(seq, after, new):
-                                total[changed_pair] += n * cnt
-                            seq = after
+                        add_changes(total, seq, pair, new, cnt)
+                        seq = seq.replace(pair, new)
                 changed += found
+            long.sort(key=lambda word: word[0])
+            for rows in _joinable([cnt for cnt, _ in long], [len(seq) for _, seq in long]):
+                cnt, seq = long[rows.start][0], BREAK.join([long[i][1] for i in rows])
+                for pair, new in pending:
+                    seq = seq.replace(pair, new)
+                symbols = _symbols(seq)
+                for (pair, new), total in zip(merges, sums):
+                    if pair in seq:
+                        seq = seq.replace(pair, new)
+                        before_it, symbols = symbols, _symbols(seq)
+                        for changed_pair, n in _symbol_changes(before_it, symbols, new):
+                            total[changed_pair] += n * cnt
+                changed += sum(any(new in word for _, new in merges) for word in seq.split(BREAK))
         rows = [(step, pair, n) for step, total in enumerate(sums) for pair, n in total.items() if n] + [(-1, "", read), (-2, "", changed)]
         columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), (pa.int32(), pa.string(), pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, names=["step", "pair", "n"])
@@ -349,22 +370,72 @@ def _changes_task(pending: list[tuple[str, str]], merges: list[tuple[str, str]],
     return task
 
 
-def _long_pairs_task(first_seen: bool):
-    """Each pair of a long word once, with its count and, if asked for, its first place."""
+def _joinable(counts: list[int], lengths: list[int]) -> Iterator[range]:
+    """Neighbouring words of one count that are looked at as one string, each up to ``JOINED_LENGTH`` symbols."""
+    begin = held = 0
+    for i, (count, length) in enumerate(zip(counts, lengths)):
+        if i > begin and (count != counts[begin] or held + length > JOINED_LENGTH):
+            yield range(begin, i)
+            begin, held = i, 0
+        held += length
+    if begin < len(counts):
+        yield range(begin, len(counts))
+
+
+def _long_pairs_task(first_seen: bool, wanted: list[str] | None = None):
+    """Each pair of long words once per string of joined words, with its count and, if asked for, its first place."""
+    chosen = None if wanted is None else np.array([ord(pair[0]) << 32 | ord(pair[1]) for pair in wanted], np.uint64)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (seq, cnt) in enumerate(zip(batch.column("seq").to_pylist(), batch.column("cnt").to_pylist())):
-                symbols = np.frombuffer(seq.encode("utf-32-le"), "<u4").astype(np.uint64)
-                codes, places, counts = np.unique(symbols[:-1] << np.uint64(32) | symbols[1:], return_index=True, return_counts=True)
-                columns = [pa.array([chr(code >> 32) + chr(code & 0xFFFFFFFF) for code in codes.tolist()]), pa.array(counts * cnt, pa.int64())]
+            seqs, cnts = batch.column("seq").to_pylist(), batch.column("cnt").to_pylist()
+            # Words of one count in the order of their first places: the first place in the string is the first of all.
+            place = [tuple((v is not None, v) for v in first.values()) for first in batch.column("first").to_pylist()] if first_seen else [()] * len(seqs)
+            order = sorted(range(len(seqs)), key=lambda i: (cnts[i], place[i]))
+            for rows in _joinable([cnts[i] for i in order], [len(seqs[i]) for i in order]):
+                members = order[rows.start : rows.stop]
+                codes, places, counts = _pair_codes(BREAK.join([seqs[i] for i in members]))
+                if chosen is not None:
+                    kept = np.isin(codes, chosen)
+                    codes, places, counts = codes[kept], places[kept], counts[kept]
+                columns = [pa.array(_spelt(codes), pa.string()), pa.array(counts * cnts[members[0]], pa.int64())]
                 if first_seen:
-                    columns += [batch.column("first").take(pa.array(np.full(len(codes), i))), pa.array(places, pa.int32())]
+                    starts = np.cumsum([0] + [len(seqs[i]) + 1 for i in members[:-1]])
+                    word = np.searchsorted(starts, places, "right") - 1
+                    columns += [batch.column("first").take(pa.array(np.array(members)[word], pa.int64())), pa.array(places - starts[word], pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, names=["pair", "n", *(["first", "off"] if first_seen else [])])
 
     return task
 
 
+def _spelt(codes: np.ndarray) -> list[str]:
+    return [chr(code >> 32) + chr(code & 0xFFFFFFFF) for code in codes.tolist()]
+
+
+def _pair_codes(seq: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the pairs of a string, their first places and their counts; pairs across a break are left out."""
+    symbols = _symbols(seq)
+    seen = np.zeros(ord(BREAK) + 1, bool)
+    seen[symbols] = True
+    seen[ord(BREAK)] = False
+    present = np.flatnonzero(seen).astype(np.uint64)
+    inside = np.flatnonzero((symbols[:-1] != ord(BREAK)) & (symbols[1:] != ord(BREAK)))
+    if len(present) > DENSE_SYMBOLS:
+        pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+        codes, places, counts = np.unique(pairs[inside], return_index=True, return_counts=True)
+        return codes, inside[places], counts
+    number = np.zeros(len(seen), np.int64)
+    number[present] = np.arange(len(present))
+    pairs = number[symbols[inside]] * len(present) + number[symbols[inside + 1]]
+    counts = np.bincount(pairs, minlength=1)
+    places = np.zeros(len(counts), np.int64)
+    # Of several values for one place the last is kept.
+    places[pairs[::-1]] = inside[::-1]
+    found = np.flatnonzero(counts)
+    codes = present[found // max(1, len(present))] << np.uint64(32) | present[found % max(1, len(present))] if len(found) else np.zeros(0, np.uint64)
+    return codes, places[found], counts[found]
+
+
 def add_changes(sums: dict[str, int], seq: str, pair: str, new: str, cnt: int) -> None:
     """Add how a merge changes the pairs of one sequence: those that touch a place of the merge.
 
@@ -386,14 +457,22 @@ def add_changes(sums: dict[str, int], seq: str, pair: str, new: str, cnt: int) -
 
 
 def long_changes(before: str, after: str, new: str) -> Iterator[tuple[str, int]]:
-    """The same for a long sequence: pairs and how often they come or go."""
-    old, now = (np.frombuffer(text.encode("utf-32-le"), "<u4") for text in (before, after))
+    """The same for long sequences joined by breaks: pairs and how often they come or go."""
+    return _symbol_changes(_symbols(before), _symbols(after), new)
+
+
+def _symbols(seq: str) -> np.ndarray:
+    return np.frombuffer(seq.encode("utf-32-le"), "<u4")
+
+
+def _symbol_changes(old: np.ndarray, now: np.ndarray, new: str) -> Iterator[tuple[str, int]]:
     places = np.flatnonzero(now == ord(new))
     # Each merge before a place has made the sequence one symbol shorter.
     merged = places + np.arange(len(places))
     for symbols, begins, n in ((old, merged[:, None] + [-1, 0, 1], -1), (now, places[:, None] + [-1, 0], 1)):
         begins = np.unique(begins)
         begins = begins[(begins >= 0) & (begins < len(symbols) - 1)]
+        begins = begins[(symbols[begins] != ord(BREAK)) & (symbols[begins + 1] != ord(BREAK))]
         codes, counts = np.unique(symbols[begins].astype(np.uint64) << np.uint64(32) | symbols[begins + 1], return_counts=True)
         for code, count in zip(codes.tolist(), counts.tolist()):
             yield chr(code >> 32) + chr(code & 0xFFFFFFFF), n * count

@@ -196,3 +196,38 @@ def test_special_ids_follow_the_last_merge(spark):
     df = spark.createDataFrame([("abab",)], "text string")
     tok = CorpusTokenizer.train(df, 600)
     assert tok.bos_id == 256 + len(tok.merges) and tok.vocab_size == tok.bos_id + 9
+
+
+def test_long_words_are_joined(spark, monkeypatch):
+    """Whole texts are looked at many at a time: pairs do not cross texts, copies count, first places settle ties."""
+    rows = [(i, "".join(chr(97 + (i * 7 + j * j) % 5) for j in range(70 + i)) * (1 + i % 2)) for i in range(9)]
+    rows += [(20, rows[3][1]), (21, rows[3][1]), (22, "short"), (23, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2, "doc_id")
+    texts = [list(text.encode()) for _, text in rows if text]
+    expected = []
+    for new in range(256, 261):
+        counts, first = {}, {}
+        for i, text in enumerate(texts):
+            for j, pair in enumerate(zip(text, text[1:])):
+                counts[pair] = counts.get(pair, 0) + 1
+                first.setdefault(pair, (i, j))
+        pair = min(counts, key=lambda p: (-counts[p], first[p]))
+        expected.append((*pair, new, counts[pair]))
+        texts = [_merged(text, pair, new) for text in texts]
+    for length, dense in ((training.JOINED_LENGTH, training.DENSE_SYMBOLS), (100, 2)):
+        monkeypatch.setattr(training, "JOINED_LENGTH", length)
+        monkeypatch.setattr(training, "DENSE_SYMBOLS", dense)
+        merges = training.train_bpe(docs, 261, None, tie="first_seen", order="doc_id")
+        assert [(m.a, m.b, m.new_id, m.cnt) for m in merges] == expected
+
+
+def _merged(text, pair, new):
+    out, i = [], 0
+    while i < len(text):
+        if tuple(text[i : i + 2]) == pair:
+            out.append(new)
+            i += 2
+        else:
+            out.append(text[i])
+            i += 1
+    return out
