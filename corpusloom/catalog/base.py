@@ -57,4 +57,5 @@ def tokenizer(spark: SparkSession, sf_dir: str) -> CorpusTokenizer:
 
 def joined(ids: Column | str) -> Column:
     """Ids as one string, so that both engines compare the same type."""
-    return F.array_join(F.transform(ids, lambda x: x.cast("string")), " ")
+    column = F.col(ids) if isinstance(ids, str) else ids
+    return F.array_join(column.cast("array<string>"), " ")

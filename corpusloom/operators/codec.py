@@ -6,13 +6,13 @@ from collections.abc import Collection, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import sequences as S
-from corpusloom.functions.tasks import merge_chunk, symbol_ids
+from corpusloom.functions.tasks import encode_texts, merge_chunk, symbol_ids
 from corpusloom.functions.text import lossy_utf8
-from corpusloom.operators.pretokenize import allowed_specials, chunk_array, refuse_specials, split_specials
+from corpusloom.operators.pretokenize import SPACE_BEGINS_CHUNK, allowed_specials, character_kinds, chunk_array, kind_pattern, refuse_specials, split_specials
 from corpusloom.session import width
 
 # Distinct chunks that a task remembers; beyond it the memory starts afresh.
@@ -51,6 +51,19 @@ def _encode_chunks_udf(merges: Sequence[S.Merge]):
     return F.arrow_udf(encode, "array<int>")
 
 
+def _encode_texts_udf(merges: Sequence[S.Merge], pattern: str | None, permutation: Sequence[int] | None):
+    """Arrow function ``string`` -> ``array<int>``."""
+    rules = {S.symbol(a) + S.symbol(b): S.symbol(n) for a, b, n in merges}
+    cut, kinds = (None, b"") if pattern is None else (kind_pattern(pattern), character_kinds(SparkSession.active()))
+    table = None if permutation is None else "".join(map(S.symbol, permutation))
+    surrogates, gap = S.SURROGATES, S.GAP
+
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return encode_texts(batches, rules, cut, kinds, table, surrogates, gap)
+
+    return F.arrow_udf(encode, "array<int>")
+
+
 def _byte_seq(chunk: Column, permutation: Sequence[int] | None) -> Column:
     seq = S.byte_symbols(chunk)
     if permutation is None:
@@ -80,7 +93,13 @@ def encode_text(
     permutation: Sequence[int] | None = None,
     fold_limit: int = 0,
 ) -> Column:
-    """Token ids of a text; special tokens are read as plain text."""
+    """Token ids of a text; special tokens are read as plain text.
+
+    Where the pattern allows it, texts go to the task as they are, which merges their distinct pieces between spaces once.
+    """
+    ranked = all(a < n and b < n for a, b, n in merges) and all(m[2] < n[2] for m, n in zip(merges, merges[1:]))
+    if len(merges) > fold_limit and ranked and (pattern is None or pattern in SPACE_BEGINS_CHUNK):
+        return _encode_texts_udf(merges, pattern, permutation)(text)
     seqs = F.transform(chunk_array(text, pattern), lambda c: _byte_seq(c, permutation))
     return encode_sequences(seqs, merges, fold_limit)
 

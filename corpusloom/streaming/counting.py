@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusloom.operators.pairs import chunk_counts
+from corpusloom.operators.pretokenize import explode_chunks
 from corpusloom.streaming.encoding import AVAILABLE_NOW
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -34,7 +34,9 @@ def start_counting(
     if partitions:
         docs = docs.repartition(partitions)
     return (
-        chunk_counts(docs, pattern, text)
+        explode_chunks(docs, pattern, text)
+        .groupBy("chunk")
+        .agg(F.count("*").alias("cnt"))
         .writeStream.outputMode("update")
         .format("noop")
         .option("checkpointLocation", checkpoint)

@@ -52,3 +52,31 @@ def test_refuse_specials(spark):
     assert [r.text for r in P.special_violations(df, CHAT_SPECIALS).collect()] == ["with <|bos|>"]
     with pytest.raises(Exception, match="special token"):
         df.select(P.refuse_specials(F.col("text"), CHAT_SPECIALS)).collect()
+
+
+def test_kinds_give_the_chunks_of_the_pattern(spark, docs, texts):
+    """Cut at spaces and split by kinds of characters in a task, texts give the chunks that the pattern gives."""
+    import random
+    import re
+    import zlib
+
+    from corpusloom.functions.patterns import CHAT_PATTERN, GPT2_PATTERN, GPT4_PATTERN
+    from corpusloom.functions.tasks import PIECES
+    from corpusloom.operators.pairs import chunk_counts
+    from corpusloom.operators.pretokenize import character_kinds, kind_pattern
+
+    draw = random.Random(1)
+    signs = list("  \t\n\r'sSdDlLvVeErRmMtT19a.,") + ["ſ", " ", "\u0085", "\u001c", " ", "　", "²", "Ⅷ", "中", "\U00020000", "\U0001f600", "́", "͸", "Ꟑ", "\U0001e4d0"]
+    every = [chr(i) for i in range(0x30000) if not 0xD800 <= i < 0xE000]
+    rows = texts + ["".join(draw.choices(signs, k=draw.randrange(40))) for _ in range(400)]
+    rows += [" x".join(every[i : i + 500]) for i in range(0, len(every), 500)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(8)
+    kinds = zlib.decompress(character_kinds(spark)).decode()
+    for pattern in (GPT2_PATTERN, GPT4_PATTERN, CHAT_PATTERN):
+        cut = re.compile(kind_pattern(pattern))
+        for row in df.select("text", P.chunk_array(F.col("text"), pattern).alias("chunks")).collect():
+            pieces = re.findall(PIECES, row.text)
+            assert "".join(pieces) == row.text
+            assert [piece[m.start() : m.end()] for piece in pieces for m in cut.finditer(piece.translate(kinds))] == row.chunks
+        expected = df.select(F.explode(P.chunk_array(F.col("text"), pattern)).alias("chunk")).groupBy("chunk").count()
+        assert sorted(map(tuple, chunk_counts(df, pattern).collect())) == sorted(map(tuple, expected.collect()))
