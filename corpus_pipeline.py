@@ -38,10 +38,8 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as piece ids, and whether decoding gives the text back."""
-    model = pieces.PieceModel(PIECE_MODEL)
-    encoded = docs.select("doc_id", "lang", "source", "text", pieces.encode(F.col("text"), model).alias("ids"))
-    same = pieces.decode(F.col("ids"), model).eqNullSafe(F.col("text"))
-    return encoded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_pieces"), same.alias("round_trip"))
+    encoded = pieces.round_trips(docs.select("doc_id", "lang", "source", "text"), pieces.PieceModel(PIECE_MODEL))
+    return encoded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip")
 
 
 STAGES = [

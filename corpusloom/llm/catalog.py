@@ -28,10 +28,9 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether decoding gives the text back."""
-    model = pieces.PieceModel(PIECE_MODEL)
-    encoded = table(spark, sf_dir, "documents").select("doc_id", "text", pieces.encode(F.col("text"), model).alias("ids"))
-    same = pieces.decode(F.col("ids"), model).eqNullSafe(F.col("text"))
-    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), same.alias("round_trip"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.round_trips(docs, pieces.PieceModel(PIECE_MODEL))
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 from corpusloom.llm.flat import give_back, mix, ranges
 
@@ -28,6 +30,8 @@ WORD = re.compile(r" *[^ ]+| +")
 #: Distinct words a task remembers, and the code points of those it searches at once.
 CACHE_WORDS = 300_000
 SEARCH_POINTS = 1 << 17
+#: Code points of the texts that are encoded together.
+PART_POINTS = 1 << 21
 UNKNOWN_PENALTY = 10.0
 SEEN_SHIFT = np.uint64(43)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -193,7 +197,24 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()), mask=missing)
 
 
-def text_parts(texts: pa.Array, limit: int = 1 << 21):
+class Decoder:
+    """Joins pieces to texts; bytes that are no UTF-8 become U+FFFD."""
+
+    def __init__(self, model: PieceModel):
+        self.sizes = np.array([len(b) for b in model.bytes])
+        self.content, self.begins = np.frombuffer(b"".join(model.bytes), np.uint8), np.cumsum(self.sizes) - self.sizes
+
+    def text(self, row: pa.ListScalar) -> str | None:
+        if not row.is_valid:
+            return None
+        found = row.values.to_numpy(zero_copy_only=False)
+        if len(found) and not (0 <= found.min() and found.max() < len(self.sizes)):
+            raise ValueError("an id is outside the vocabulary")
+        said = self.content[ranges(self.begins[found], self.sizes[found])].tobytes().decode("utf-8", "replace")
+        return said.removeprefix(" ")
+
+
+def text_parts(texts: pa.Array, limit: int = PART_POINTS):
     """The texts in lists of about ``limit`` code points."""
     part, size = [], 0
     for text in texts:
@@ -207,7 +228,7 @@ def text_parts(texts: pa.Array, limit: int = 1 << 21):
 
 
 def encode(text: Column | str, model: PieceModel) -> Column:
-    """The piece ids of a text."""
+    """The piece ids of a text. Spark evaluates it anew within ``decode``: :func:`round_trips` does both at once."""
     encoder = Encoder(model)
 
     def encoded(texts: pa.Array) -> pa.Array:
@@ -220,19 +241,33 @@ def encode(text: Column | str, model: PieceModel) -> Column:
 
 def decode(ids: Column | str, model: PieceModel) -> Column:
     """The text of piece ids; bytes that are no UTF-8 become U+FFFD."""
-    sizes = np.array([len(b) for b in model.bytes])
-    content, begins = np.frombuffer(b"".join(model.bytes), np.uint8), np.cumsum(sizes) - sizes
-
-    def text(row) -> str | None:
-        if not row.is_valid:
-            return None
-        found = row.values.to_numpy(zero_copy_only=False)
-        if len(found) and not (0 <= found.min() and found.max() < len(sizes)):
-            raise ValueError("an id is outside the vocabulary")
-        said = content[ranges(begins[found], sizes[found])].tobytes().decode("utf-8", "replace")
-        return said.removeprefix(" ")
+    decoder = Decoder(model)
 
     def decoded(rows: pa.Array) -> pa.Array:
-        return pa.array([text(row) for row in rows], pa.string())
+        return pa.array(map(decoder.text, rows), pa.string())
 
     return F.arrow_udf(decoded, "string")(ids)
+
+
+def round_trips(docs: DataFrame, model: PieceModel, text_column: str = "text", part_points: int = PART_POINTS) -> DataFrame:
+    """All rows with ``ids`` and ``round_trip`` in place of the text: its piece ids, and whether they decode to it.
+
+    Each text is encoded once, and rows leave the task with the ids of about ``part_points`` code points at a time.
+    """
+    kept = [field for field in docs.schema if field.name != text_column]
+    names, encoder, decoder = [field.name for field in kept], Encoder(model), Decoder(model)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in text_parts(batch.column(len(names)), part_points):
+                ids = encoder.encode(texts)
+                same = pa.array([decoder.text(row) == text for row, text in zip(ids, texts, strict=True)], pa.bool_())
+                others = [batch.column(i).slice(done, len(texts)) for i in range(len(names))]
+                done += len(texts)
+                yield pa.RecordBatch.from_arrays([*others, ids, same], [*names, "ids", "round_trip"])
+                del ids, same, others
+                give_back()
+
+    found = StructType(kept).add("ids", ArrayType(IntegerType())).add("round_trip", BooleanType())
+    return docs.select(*names, text_column).mapInArrow(both, found)

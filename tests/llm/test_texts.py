@@ -5,11 +5,12 @@ import random
 import time
 
 import brute
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, pieces, pseudonyms, style_tree, token_counts, topk, toxicity
+from corpusloom.llm import catalog, decontamination, pieces, pseudonyms, style_tree, token_counts, topk, toxicity
 from corpusloom.llm.catalog import PIECE_MODEL, RANKS
 
 KEY = b"test"
@@ -27,6 +28,41 @@ def test_piece_round_trip(odd, none, model):
     assert none.select(pieces.encode("text", model)).collect() == []
 
 
+def test_round_trips_give_what_both_columns_give(odd, none, model):
+    columns = odd.select("doc_id", "component", pieces.encode("text", model).alias("ids"), "text")
+    expected = columns.select("doc_id", "component", "ids", pieces.decode("ids", model).eqNullSafe(F.col("text")).alias("round_trip"))
+    docs = odd.select("doc_id", "text", "component")
+    for points in (1, 1000, pieces.PART_POINTS):
+        found = pieces.round_trips(docs, model, part_points=points)
+        assert found.columns == expected.columns
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+    assert pieces.round_trips(none.select("doc_id", "text"), model).collect() == []
+    marked = odd.select(F.lit("a\u2581b").alias("text")).limit(1)
+    assert [r.round_trip for r in pieces.round_trips(marked, model).collect()] == [False]
+
+
+@pytest.mark.parametrize("query", ["op2", "pipeline"])
+def test_each_text_is_encoded_once(spark, tmp_path, monkeypatch, query):
+    """A worker held two encoders with their words, one of them for the ids that are decoded."""
+    log, encode = f"{tmp_path}/encoded", pieces.Encoder.encode
+
+    def noted(self, texts):
+        with open(log, "a") as out:
+            out.writelines(f"{t}\n" for t in texts)
+        return encode(self, texts)
+
+    monkeypatch.setattr(pieces.Encoder, "encode", noted)
+    docs = spark.createDataFrame([(i, f"text{i}", "en", "web") for i in range(50)], "doc_id long, text string, lang string, source string")
+    if query == "op2":
+        docs.write.parquet(f"{tmp_path}/documents.parquet")
+        found = catalog.op2_sentencepiece(spark, str(tmp_path))
+    else:
+        found = corpus_pipeline.encode_pieces(spark, docs, str(tmp_path))
+    assert all(r.round_trip and r.n_pieces == len(r.ids) for r in found.collect())
+    with open(log) as lines:
+        assert sorted(lines) == sorted(f"text{i}\n" for i in range(50))
+
+
 def test_pieces_are_the_best_split(model):
     scores = {bytes(p.astype("<u4").tobytes()).decode("utf-32-le").rstrip("\0"): s for p, s in zip(model.points, model.scores, strict=True)}
     names = {piece: int(i) for (piece, _), i in zip(scores.items(), model.ids, strict=True)}
