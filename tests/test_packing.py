@@ -1,4 +1,5 @@
 import random
+import time
 
 import golden
 import pytest
@@ -109,3 +110,30 @@ def test_whole_loader(spark, docs, texts):
         assert sorted(tuple(r) for r in packed.collect()) == sorted(expected)
     with pytest.raises(ValueError):
         loader.pack_encoded(sharded, 1, 1, epochs=0)
+
+
+def test_shown_ids_pass_through_no_queue(spark):
+    """Beside a function of columns, rows wait in queues that a task writes to disk."""
+    from corpusloom.catalog.packing import shown
+
+    lists = [[0, 7, 12345], [], [257] * 9, None, list(range(300)), [1 << 20, -1]]
+    df = spark.createDataFrame([(0, i, ids, ids and ids[::-1], i) for i, ids in enumerate(lists)], "rank int, batch_id long, inputs array<int>, targets array<int>, rg_idx int")
+    out = shown(df.coalesce(1))
+    text = lambda ids: None if ids is None else " ".join(map(str, ids))
+    assert [tuple(r) for r in out.orderBy("batch_id").collect()] == [(0, i, text(ids), text(ids and ids[::-1]), i) for i, ids in enumerate(lists)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    from corpusloom.session import DROP_SHUFFLES, materialize
+
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before, setting = files(), spark.conf.get(DROP_SHUFFLES)
+    df = spark.range(5000).withColumn("k", F.col("id") % 7).repartition(4, "k")
+    stored = materialize(df, "dealt")
+    deadline = time.time() + 20
+    while files() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(DROP_SHUFFLES) == setting
+    assert stored.count() == 5000
