@@ -137,3 +137,29 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not files() - before and spark.conf.get(DROP_SHUFFLES) == setting
     assert stored.count() == 5000
+
+
+@pytest.mark.parametrize("resume, length", [(None, 9), ((1, 1), 33), ((0, 2), 1000)])
+def test_rows_of_documents_are_cut_by_themselves(spark, token_lists, monkeypatch, resume, length):
+    """Neighbouring documents in one row give the windows of single ones, however rows are dealt; pieces are not stored."""
+    stored = []
+    monkeypatch.setattr(packing, "RUN_TOKENS", 150)
+    monkeypatch.setattr(packing, "RUN_WINDOWS", 1)
+    monkeypatch.setattr(packing, "materialize", lambda df, name, write=packing.materialize: stored.append(name) or write(df, name))
+    single = packing.stream_positions(encoded(spark, token_lists, 2), "doc_id")
+    runs = packing.stream_runs(encoded(spark, token_lists, 2), "doc_id", length)
+    assert 4 < runs.count() < DOCS and runs.agg(F.sum(F.size("sizes"))).first()[0] == DOCS
+    assert [r.n_tokens for r in runs.collect()] == [sum(r.sizes) for r in runs.collect()]
+    passes = [packing.epoch_passes(placed, 2, resume, 2) for placed in (single, runs)]
+    assert passes[0] == passes[1]
+    expected = packing.run_windows(single, length, passes[0]).collect()
+    stored.clear()
+    found = packing.run_windows(runs.repartition(7), length, passes[0]).collect()
+    assert sorted(found) == sorted(expected) and len(found) > 2
+    assert stored == ["edges"]
+
+
+def test_last_document_of_a_row(spark):
+    rows = [([3, 0, 0], [1, 2, 0], [7, 0, 9]), ([0, 0], [4, 3], [0, 0]), ([2, 5], [9, 1], [0, 1]), ([0], [6], [2])]
+    df = spark.createDataFrame(rows, "sizes array<int>, shards array<int>, groups array<int>").select(packing.last_document().alias("doc"))
+    assert [tuple(r.doc) for r in df.collect()] == [(2, 0), (4, 0), (1, 1), (6, 2)]

@@ -1,5 +1,7 @@
 """Row groups as the unit of reading."""
 
+import json
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -12,7 +14,7 @@ from corpusloom.plans.tokenizer import CorpusTokenizer
 from corpusloom.plans.training import TrainedMerge
 from corpusloom.session import scratch_path
 from corpusloom.sources import documents as D
-from corpusloom.sources.row_groups import FilteredRowGroupReader, RowGroupReader
+from corpusloom.sources.row_groups import FilteredRowGroupReader, RowGroupReader, RowGroupStream
 
 SHARDS, GROUPS, ROWS = 3, 7, 4
 
@@ -134,3 +136,30 @@ def test_loader_over_a_folder(spark, folder, resume):
         break_groups(folder, 2, range(GROUPS))
     found = loader.pack_folder(spark, str(folder), tok, 2, 20, "train", 2, resume=resume).collect()
     assert sorted(found) == sorted(expected) and len(found) > 20
+
+
+def test_a_stream_reads_small_files_together(folder, tmp_path):
+    paths = [[shard, (folder / f"s%20{shard}.parquet").as_uri().replace("%25", "%")] for shard in range(SHARDS)]
+    stream = RowGroupStream({"shards": json.dumps(paths), "progress": (tmp_path / "progress").as_uri(), "groups_per_batch": str(GROUPS + 3)})
+    start = stream.initialOffset()
+    seen = []
+    for _ in range(4):
+        end = stream.latestOffset()
+        parts = stream.partitions(start, end)
+        assert len(parts) == 1
+        seen += [(r["epoch"], r["shard_idx"], r["rg_idx"], r["row_idx"]) for part in parts for batch in stream.read(part) for r in batch.to_pylist()]
+        start = end
+    rows = [(e, s, row // ROWS, row) for e in range(2) for s in range(SHARDS) for row in range(GROUPS * ROWS)]
+    assert seen == rows[: 4 * (GROUPS + 3) * ROWS]
+
+
+def test_large_files_of_a_stream_have_their_own_tasks(folder, tmp_path, monkeypatch):
+    from corpusloom.sources import row_groups
+
+    monkeypatch.setattr(row_groups, "BYTES_PER_TASK", 2000)
+    paths = [[shard, (folder / f"s%20{shard}.parquet").as_uri().replace("%25", "%")] for shard in range(SHARDS)]
+    stream = RowGroupStream({"shards": json.dumps(paths), "progress": (tmp_path / "progress").as_uri()})
+    parts = stream.partitions(stream.initialOffset(), {"epoch": 1, "shard": 0, "group": 0})
+    assert len(parts) > SHARDS and all(len(part.files) == 1 for part in parts)
+    found = [(files.files[0].shard, group) for files in parts for group in files.files[0].listed]
+    assert found == [(shard, group) for shard in range(SHARDS) for group in range(GROUPS)]
