@@ -1,8 +1,9 @@
 import golden
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions.patterns import GPT4_PATTERN, GPT4_SPECIALS
+from corpusloom.functions.patterns import CHAT_PATTERN, GPT2_PATTERN, GPT4_PATTERN, GPT4_SPECIALS
 from corpusloom.operators import codec, vocabulary
 from corpusloom.plans.tokenizer import CorpusTokenizer
 from corpusloom.plans.training import TrainedMerge
@@ -153,3 +154,20 @@ def test_chunks_of_any_length_merge_in_rank_order():
         for pair, new in rules.items():
             expected = expected.replace(pair, new)
         assert merge_chunk(chunk, rules) == expected
+
+
+@pytest.mark.parametrize("pattern", [CHAT_PATTERN, GPT2_PATTERN, None])
+@pytest.mark.parametrize("prepend", [None, 7])
+def test_rows_are_encoded_like_a_column(spark, texts, pattern, prepend):
+    """As a function of batches of rows, for batches of any size."""
+    merges = [(116, 104, 256), (256, 101, 257), (97, 97, 258)]
+    rows = [(i, text) for i, text in enumerate(texts * 70)]
+    df = spark.createDataFrame(rows, "n long, text string")
+    column = codec.frame_ids(codec.encode_text(F.col("text"), merges, pattern), prepend)
+    expected = {r.n: r.ids for r in df.select("n", column.alias("ids")).collect()}
+    encode = codec.rows_encoder(merges, pattern, None, "text", prepend)
+    whole = pa.RecordBatch.from_pydict({"n": [n for n, _ in rows], "text": [text for _, text in rows]})
+    batches = [whole.slice(0, 5), whole.slice(5, 0), whole.slice(5, 1200), whole.slice(1205)]
+    found = [r for batch in encode(iter(batches)) for r in batch.to_pylist()]
+    assert [r["n"] for r in found] == list(range(len(rows)))
+    assert all(r["ids"] == expected[r["n"]] and r["n_tokens"] == len(r["ids"]) for r in found)
