@@ -2,6 +2,7 @@ import random
 import time
 
 import golden
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,10 +147,13 @@ def test_rows_of_documents_are_cut_by_themselves(spark, token_lists, monkeypatch
     monkeypatch.setattr(packing, "RUN_TOKENS", 150)
     monkeypatch.setattr(packing, "RUN_WINDOWS", 1)
     monkeypatch.setattr(packing, "materialize", lambda df, name, write=packing.materialize: stored.append(name) or write(df, name))
+    monkeypatch.setattr(packing, "GROUP_TOKENS", 300 if length < 150 else 1)
     single = packing.stream_positions(encoded(spark, token_lists, 2), "doc_id")
     runs = packing.stream_runs(encoded(spark, token_lists, 2), "doc_id", length)
     assert 4 < runs.count() < DOCS and runs.agg(F.sum(F.size("sizes"))).first()[0] == DOCS
     assert [r.n_tokens for r in runs.collect()] == [sum(r.sizes) for r in runs.collect()]
+    sizes = [footer.row_group(i).num_rows for file in runs.inputFiles() for footer in [pq.read_metadata(file.removeprefix("file://"))] for i in range(footer.num_row_groups)]
+    assert max(sizes) == (2 if length < 150 else 1)
     passes = [packing.epoch_passes(placed, 2, resume, 2) for placed in (single, runs)]
     assert passes[0] == passes[1]
     expected = packing.run_windows(single, length, passes[0]).collect()
